@@ -1,7 +1,8 @@
 """Per-key state that Catalyst has no form for: the previous counter value, registered properties.
 
-Both processors put the rows of a key in a micro-batch in time order before they use them; the size of
-a micro-batch is bounded at the source (``bounded_intake``).
+Rows of a key within a micro-batch are put in time order before they are used; the size of a
+micro-batch is bounded at the source (``bounded_intake``). State travels with the Arrow batches
+(``applyInPandasWithState``), so a key costs no extra round trip.
 """
 
 from __future__ import annotations
@@ -13,95 +14,67 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from signalyard.operators.keys import with_tenant
 from signalyard.operators.metrics import with_series
+from signalyard.plans.trailing import width_us
 
 
 def _ordered(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
     return pd.concat(list(rows), ignore_index=True).sort_values(by, kind="stable", ignore_index=True)
 
 
-class _CounterSteps(StatefulProcessor):
-    """Keeps the last sample of a series: its time in microseconds and its value."""
+def _fields(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
-    def __init__(self, ttl_ms: int, keys: int) -> None:
-        self._ttl_ms = ttl_ms
-        self._keys = keys
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last", "us bigint, value double", self._ttl_ms)
+def _steps(value: np.ndarray, before: float) -> np.ndarray:
+    """Reset-aware growth from sample to sample; NaN before the first sample means no growth yet."""
+    previous = np.concatenate([[before], value[:-1]])
+    grown = np.where(value < previous, value, value - previous)
+    return np.where(np.isnan(previous), 0.0, grown)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        table = _ordered(rows, ["us"])
-        known = self._last.get() if self._last.exists() else None
-        value = table["value"].to_numpy(dtype="float64")
-        late = np.zeros(len(table), dtype=bool)
-        if known is not None:
-            late = table["us"].to_numpy() <= known[0]
-        fresh = value[~late]
-        step = np.zeros(len(table))
-        if len(fresh):
-            before = np.concatenate([[np.nan if known is None else known[1]], fresh[:-1]])
-            with np.errstate(invalid="ignore"):
-                grown = np.where(fresh < before, fresh, fresh - before)
-            step[~late] = np.where(np.isnan(before), 0.0, grown)
-            self._last.update((int(table["us"].to_numpy()[~late][-1]), float(fresh[-1])))
-        yield table.assign(step=step, late=late)
 
-    def close(self) -> None:
-        pass
-
-
-def counter_stream(metrics: DataFrame, ttl: int = 24 * 3600 * 1000) -> DataFrame:
+def counter_stream(metrics: DataFrame, ttl: str = "1 day", delay: str = "1 hour") -> DataFrame:
     """Cumulative counter samples with ``step``, the stream form of ``counter_steps``.
 
-    Reset-aware. The last value per series is state and is dropped after ``ttl`` idle milliseconds. A
-    sample not newer than the state is flagged ``late`` and has step 0.
+    Reset-aware. The last sample per series is state; it is dropped once the series is silent for
+    ``ttl`` of event time. A sample not newer than the state is flagged ``late`` and has step 0; samples
+    older than the watermark (``delay``) are dropped by Spark.
     """
-    series = with_series(metrics)
+    ttl_ms = width_us(ttl) // 1000
+    series = with_series(metrics).withWatermark("ts", delay)
     keys = with_tenant(series, "name", "series_key")
-    rows = series.select(*keys, F.unix_micros("ts").alias("us"), F.col("value").cast("double").alias("value"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    stepped = rows.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_CounterSteps(ttl, len(keys)),
-        outputStructType=f"{schema}, step double, late boolean",
-        outputMode="Append",
-        timeMode="ProcessingTime",
+    rows = series.select(
+        *keys, "ts", F.unix_micros("ts").alias("us"), F.col("value").cast("double").alias("value")
     )
-    return stepped.select(*keys, F.timestamp_micros("us").alias("ts"), "value", "step", "late")
-
-
-class _SuperProps(StatefulProcessor):
-    """Keeps the registered properties of a client as key to JSON text."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._held = handle.getMapState("held", "key string", "value string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        table = _ordered(rows, ["us", "is_event", "seq"])
-        held = {k[0]: v[0] for k, v in self._held.iterator()}
-        before = dict(held)
-        text = _as_json(held)
-        out: list[str | None] = []
-        for is_event, op, name, value in zip(table["is_event"], table["op"], table["key"], table["value"], strict=True):
-            if not is_event:
-                if op == "register":
-                    held[name] = value if isinstance(value, str) else "null"
-                else:
-                    held.pop(name, None)
-                text = _as_json(held)
-            out.append(text)
-        for name in before.keys() - held.keys():
-            self._held.removeKey((name,))
-        for name, value in held.items():
-            if before.get(name) != value:
-                self._held.updateValue((name,), (value,))
-        yield table.assign(super_props=out)[table["is_event"]].drop(columns=["is_event", "op", "key", "value"])
+    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        table = _ordered(batches, ["us"])
+        last_us, last_value = state.get if state.exists else (None, float("nan"))
+        at, value = table["us"].to_numpy(), table["value"].to_numpy(dtype="float64")
+        late = np.zeros(len(table), dtype=bool) if last_us is None else at <= last_us
+        step = np.zeros(len(table))
+        fresh = value[~late]
+        if len(fresh):
+            step[~late] = _steps(fresh, last_value)
+            state.update((int(at[~late][-1]), float(fresh[-1])))
+        newest_ms = int(at.max()) // 1000 if last_us is None else max(int(at.max()), last_us) // 1000
+        state.setTimeoutTimestamp(max(newest_ms + ttl_ms, state.getCurrentWatermarkMs() + 1))
+        yield table.assign(step=step, late=late)
 
-    def close(self) -> None:
-        pass
+    stepped = rows.groupBy(*keys).applyInPandasWithState(
+        advance,
+        outputStructType=f"{_fields(rows)}, step double, late boolean",
+        stateStructType="us bigint, value double",
+        outputMode="append",
+        timeoutConf=GroupStateTimeout.EventTimeTimeout,
+    )
+    return stepped.select(*keys, "ts", "value", "step", "late")
 
 
 def _as_json(held: dict[str, str]) -> str:
@@ -113,22 +86,41 @@ def super_props_stream(changes: DataFrame, events: DataFrame, client: str = "cli
 
     Arrival order across micro-batches, time order inside one, a change before an event of the same
     time. ``changes`` has (client, ts, seq, op, key, value), ``events`` has (client, ts, seq, row) with
-    ``row`` any JSON text; merge with ``track_payload`` afterwards.
+    ``row`` any JSON text; merge with ``merge_properties`` afterwards.
     """
     keys = with_tenant(events, client)
-    us = F.unix_micros("ts").alias("us")
-    c = changes.select(*keys, us, "seq", F.lit(False).alias("is_event"), "op", "key", "value", F.lit(None).cast("string").alias("row"))
     none = F.lit(None).cast("string")
-    e = events.select(
-        *keys, us, "seq", F.lit(True).alias("is_event"), none.alias("op"), none.alias("key"), none.alias("value"), "row"
+    us = F.unix_micros("ts").alias("us")
+    both = changes.select(
+        *keys, us, "seq", F.lit(False).alias("is_event"), "op", "key", "value", none.alias("row")
+    ).unionByName(
+        events.select(
+            *keys, us, "seq", F.lit(True).alias("is_event"), none.alias("op"), none.alias("key"), none.alias("value"), "row"
+        )
     )
-    both = c.unionByName(e)
-    names = ", ".join(f"{k} {both.schema[k].dataType.simpleString()}" for k in keys)
-    seq = both.schema["seq"].dataType.simpleString()
-    found = both.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=_SuperProps(),
-        outputStructType=f"{names}, us bigint, seq {seq}, row string, super_props string",
-        outputMode="Append",
-        timeMode="None",
+    columns = [*keys, "us", "seq", "row"]
+
+    def replay(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        table = _ordered(batches, ["us", "is_event", "seq"])
+        held: dict[str, str] = dict(zip(*state.get)) if state.exists else {}
+        text = _as_json(held)
+        seen: list[str] = []
+        for is_event, op, name, value in zip(table["is_event"], table["op"], table["key"], table["value"]):
+            if not is_event:
+                if op == "register":
+                    held[name] = value if isinstance(value, str) else "null"
+                else:
+                    held.pop(name, None)
+                text = _as_json(held)
+            seen.append(text)
+        state.update((list(held.keys()), list(held.values())))
+        yield table.assign(super_props=seen).loc[table["is_event"], [*columns, "super_props"]]
+
+    found = both.groupBy(*keys).applyInPandasWithState(
+        replay,
+        outputStructType=f"{_fields(both.select(*columns))}, super_props string",
+        stateStructType="names array<string>, texts array<string>",
+        outputMode="append",
+        timeoutConf=GroupStateTimeout.NoTimeout,
     )
     return found.select(*keys, F.timestamp_micros("us").alias("ts"), "seq", "row", "super_props")

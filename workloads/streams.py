@@ -135,7 +135,7 @@ def _(t):
 @query("counter_stream", _STEPS_SQL + " SELECT source, epoch_us(ts) AS us, value, step FROM steps", "fx_counter")
 def _(t):
     samples = t.view("fx_counter").withColumn("series_key", F.col("source"))
-    rows = drain(t, counter_stream(replay(t, samples)))
+    rows = drain(t, counter_stream(replay(t, samples), ttl="40 days"))
     return rows.select(F.col("series_key").alias("source"), us("ts").alias("us"), "value", "step")
 
 
