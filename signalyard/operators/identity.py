@@ -32,12 +32,17 @@ def _small_star(links: DataFrame, scope: list[str]) -> DataFrame:
 
 def _is_forest_of_stars(links: DataFrame, scope: list[str]) -> bool:
     """Every node hangs on exactly one other, which hangs on nothing."""
-    roots = links.select(*scope, F.col("b").alias("a")).distinct()
-    hanging = links.groupBy(*scope, "a").agg(F.count("*").alias("n"))
-    bad = hanging.join(roots.withColumn("_root", F.lit(True)), [*scope, "a"], "left").filter(
-        "n > 1 OR _root"
+    ends = links.select(
+        *scope,
+        F.explode(
+            F.array(
+                F.struct(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")),
+                F.struct(F.col("b").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")),
+            )
+        ).alias("e"),
     )
-    return bad.isEmpty()
+    nodes = ends.groupBy(*scope, "e.node").agg(F.sum("e.hangs").alias("hangs"), F.max("e.holds").alias("holds"))
+    return nodes.filter("hangs > 1 OR (hangs = 1 AND holds = 1)").isEmpty()
 
 
 def resolve_identities(aliases: DataFrame, max_rounds: int = 60) -> DataFrame:

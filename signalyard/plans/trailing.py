@@ -1,14 +1,16 @@
 """Trailing aggregates over the last n rows or the last stretch of time of each key.
 
-Ordinary keys use one window with the frame itself. For keys too big for a task the same values are
-put together from blocks, see the two ``_blocked`` functions.
+A sliding frame costs rows times frame length. Here the line of each key is cut into blocks as long as
+the frame, so that every frame is the end of one block plus the start of the next: running values give
+the start, suffix values of the block before give the end. The work is linear however long the frame
+is, and a key with very many rows spreads over its blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalyard.functions.scalars import epoch_us
@@ -22,102 +24,40 @@ from signalyard.plans.ordered import (
     suffix_min,
     suffix_sum,
 )
-from signalyard.plans.skew import hot_keys, split
+from signalyard.plans.skew import hot_keys
 
-_ROWS_PER_BLOCK = 100_000
-
-
-def _stats(value: str, frame):
-    return {
-        "n": F.count(value).over(frame),
-        "mean": F.avg(value).over(frame),
-        "min": F.min(value).over(frame),
-        "max": F.max(value).over(frame),
-    }
-
-
-def trailing_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, value: str) -> DataFrame:
-    """Every row with count, mean, min and max of ``value`` over it and the ``n - 1`` rows before it."""
-    keys, order = list(keys), list(order)
-    hot = hot_keys(df, keys)
-    cold, warm = (df, None) if hot is None else split(df, hot)
-    frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(n - 1), 0)
-    result = cold.withColumns(_stats(value, frame))
-    if warm is None:
-        return result
-    return result.unionByName(_rows_blocked(warm, hot, keys, order, n, value))
-
-
-def _rows_blocked(df, hot, keys, order, n, value) -> DataFrame:
-    """Blocks of consecutive rows, each with a copy of the ``n - 1`` rows before it."""
-    size = max(_ROWS_PER_BLOCK, 8 * n)
-    placed = (
-        Ordered.of(df, keys, order, hot)
-        .scan(_pos=running_sum(F.lit(1)))
-        .with_columns(_block=F.call_function("div", F.col("_pos") - 1, F.lit(size)))
-        .frame()
-    )
-    tail = placed.filter(F.pmod(F.col("_pos") - 1, F.lit(size)) >= size - (n - 1))
-    ahead = tail.withColumns({"_block": F.col("_block") + 1, "_copy": F.lit(True)})
-    rows = placed.withColumn("_copy", F.lit(False)).unionByName(ahead)
-    frame = Window.partitionBy(*keys, "_block").orderBy("_pos").rowsBetween(-(n - 1), 0)
-    return rows.withColumns(_stats(value, frame)).filter("NOT _copy").drop("_pos", "_block", "_copy")
-
-
-def trailing_range(
-    df: DataFrame, keys: Sequence[str], width: str, value: str | None = None, ts: str = "ts"
-) -> DataFrame:
-    """One row per key and time: n, sum, min and max of ``value`` from ``width`` before up to that time.
-
-    Both ends are included. Without ``value`` only rows are counted.
-    """
-    keys = list(keys)
-    cell = F.lit(0.0) if value is None else F.col(value)
-    rows = df.select(*keys, F.col(ts).alias(ts), epoch_us(ts).alias("_us"), cell.alias("_v"))
-    span = F.lit(width_us(width))
-    hot = hot_keys(rows, keys)
-    cold, warm = (rows, None) if hot is None else split(rows, hot)
-
-    # One exchange on the key serves the sums per time and the frame over times.
-    moments = _moments(cold.repartition(*keys) if keys else cold.coalesce(1), keys, ts)
-    frame = Window.partitionBy(*keys).orderBy("_us").rangeBetween(-width_us(width), 0)
-    result = moments.select(
-        *keys,
-        ts,
-        F.sum("_n").over(frame).alias("n"),
-        F.sum("_s").over(frame).alias("sum"),
-        F.min("_lo").over(frame).alias("min"),
-        F.max("_hi").over(frame).alias("max"),
-    )
-    if warm is None:
-        return result
-    return result.unionByName(_range_blocked(_moments(warm, keys, ts), keys, ts, span))
+_UNITS_US = {
+    "microsecond": 1,
+    "millisecond": 1_000,
+    "second": 1_000_000,
+    "minute": 60_000_000,
+    "hour": 3_600_000_000,
+    "day": 86_400_000_000,
+    "week": 604_800_000_000,
+}
 
 
 def width_us(width: str) -> int:
-    """A fixed interval such as ``10 minutes`` in microseconds."""
-    units = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000}
-    units |= {"hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}
+    """A fixed interval such as ``10 minutes`` or ``1 day 2 hours`` in microseconds."""
     words = width.lower().split()
-    pairs = list(zip(words[::2], words[1::2], strict=True))
-    return sum(int(float(n) * units[u.rstrip("s")]) for n, u in pairs)
+    return sum(int(float(n) * _UNITS_US[u.rstrip("s")]) for n, u in zip(words[::2], words[1::2], strict=True))
 
 
-def _moments(rows: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    return rows.groupBy(*keys, ts, "_us").agg(
-        F.count("_v").alias("_n"), F.sum("_v").alias("_s"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    )
+def _cell(value: Column) -> dict[str, Column]:
+    """A single value as the sums a frame is made of."""
+    number = value.cast("double")
+    return {"_n": F.when(value.isNull(), 0).otherwise(1).cast("bigint"), "_s": number, "_lo": value, "_hi": value}
 
 
-def _range_blocked(moments: DataFrame, keys: Sequence[str], ts: str, span) -> DataFrame:
-    """Time blocks as wide as the frame, so that a frame is the end of one block plus the start of the next.
+def _trailing(cells: DataFrame, keys: Sequence[str], span: int, check: bool) -> DataFrame:
+    """``_row`` of every cell with n, sum, min and max over the cells from ``_at - span`` to ``_at``.
 
-    The start comes from running values inside the block, the end from suffix values of the block
-    before, looked up at the first time that is still inside the frame.
+    ``_at`` is a whole number, unique per key.
     """
-    block = F.call_function("div", F.col("_us") - F.pmod("_us", span), span)
+    width = F.lit(span)
+    block = F.call_function("div", F.col("_at") - F.pmod("_at", width), width)
     inside = (
-        Ordered.of(moments.withColumn("_block", block), [*keys, "_block"], ["_us"])
+        Ordered.of(cells.withColumn("_block", block), [*keys, "_block"], ["_at"], check)
         .scan(
             _rn=running_sum("_n"),
             _rs=running_sum("_s"),
@@ -130,32 +70,71 @@ def _range_blocked(moments: DataFrame, keys: Sequence[str], ts: str, span) -> Da
         )
         .frame()
     )
-    ends = inside.select(
-        *keys,
-        "_block",
-        F.col("_us").alias("_at"),
-        F.lit(1).alias("_rank"),
-        F.struct("_fn", "_fs", "_flo", "_fhi").alias("_end"),
+    # Each cell stays in its block as a possible frame start, and asks the block before for its own.
+    start = F.struct("_row", "_rn", "_rs", "_rlo", "_rhi")
+    end = F.struct("_fn", "_fs", "_flo", "_fhi")
+    is_end, no_start, no_end = F.lit(True), F.when(F.lit(False), start), F.when(F.lit(False), end)
+    both = F.array(
+        F.struct(F.col("_block").alias("b"), F.col("_at").alias("at"), F.lit(1).alias("rank"), no_start.alias("start"), F.when(is_end, end).alias("end")),
+        F.struct((F.col("_block") - 1).alias("b"), (F.col("_at") - width).alias("at"), F.lit(0).alias("rank"), F.when(is_end, start).alias("start"), no_end.alias("end")),
     )
-    probes = inside.select(
+    line = inside.select(*keys, F.explode(both).alias("p")).select(
         *keys,
-        (F.col("_block") - 1).alias("_block"),
-        (F.col("_us") - span).alias("_at"),
-        F.lit(0).alias("_rank"),
-        F.struct(ts, "_rn", "_rs", "_rlo", "_rhi").alias("_start"),
+        F.col("p.b").alias("_block"),
+        F.col("p.at").alias("_at"),
+        F.col("p.rank").alias("_rank"),
+        F.col("p.start").alias("_start"),
+        F.col("p.end").alias("_end"),
     )
-    line = ends.unionByName(probes, allowMissingColumns=True)
     found = (
-        Ordered.of(line, [*keys, "_block"], ["_at", "_rank"])
+        Ordered.of(line, [*keys, "_block"], ["_at", "_rank"], check)
         .scan(_tail=next_seen("_end"))
         .filter(F.col("_start").isNotNull())
         .frame()
     )
     return found.select(
         *keys,
-        F.col(f"_start.{ts}").alias(ts),
+        "_start._row",
         (F.col("_start._rn") + F.coalesce("_tail._fn", F.lit(0))).alias("n"),
         F.coalesce(F.col("_start._rs") + F.col("_tail._fs"), "_start._rs", "_tail._fs").alias("sum"),
         F.least("_start._rlo", "_tail._flo").alias("min"),
         F.greatest("_start._rhi", "_tail._fhi").alias("max"),
     )
+
+
+def trailing_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, value: str) -> DataFrame:
+    """Every row with count, mean, min and max of ``value`` over it and the ``n - 1`` rows before it."""
+    keys = list(keys)
+    placed = Ordered.of(df, keys, order).scan(_at=running_sum(F.lit(1)))
+    row = F.struct(*[F.col(c) for c in df.columns if c not in keys])
+    cells = placed.frame().select(*keys, "_at", row.alias("_row"), *[c.alias(a) for a, c in _cell(F.col(value)).items()])
+    if n == 1:
+        result = cells.select(*keys, "_row", F.col("_n").alias("n"), F.col("_s").alias("sum"), F.col("_lo").alias("min"), F.col("_hi").alias("max"))
+    else:
+        result = _trailing(cells, keys, n - 1, check=placed.hot is not None)
+    mean = F.col("sum") / F.nullif("n", F.lit(0))
+    return result.select(*keys, "_row.*", "n", mean.alias("mean"), "min", "max").select(
+        *df.columns, "n", "mean", "min", "max"
+    )
+
+
+def trailing_range(
+    df: DataFrame, keys: Sequence[str], width: str, value: str | None = None, ts: str = "ts"
+) -> DataFrame:
+    """One row per key and time: n, sum, min and max of ``value`` from ``width`` before up to that time.
+
+    Both ends are included. Without ``value`` rows are counted.
+    """
+    keys = list(keys)
+    cell = _cell(F.lit(0) if value is None else F.col(value))
+    rows = df.select(*keys, ts, epoch_us(ts).alias("_at"), *[c.alias(a) for a, c in cell.items()])
+    big = hot_keys(rows, keys) is not None
+    if keys and not big:
+        # One exchange on the key serves the sums per time and everything after.
+        rows = rows.repartition(*keys)
+    moments = rows.groupBy(*keys, ts, "_at").agg(
+        F.sum("_n").alias("_n"), F.sum("_s").alias("_s"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")
+    )
+    cells = moments.select(*keys, "_at", F.struct(ts).alias("_row"), "_n", "_s", "_lo", "_hi")
+    result = _trailing(cells, keys, width_us(width), check=big)
+    return result.select(*keys, f"_row.{ts}", "n", "sum", "min", "max")

@@ -40,7 +40,7 @@ def _forced(session, rows: int, partitions: int):
 def forced_split(spark):
     """``with forced_split(): ...`` splits every key with more than a handful of rows."""
 
-    def use(rows: int = 5, partitions: int = 40):
+    def use(rows: int = 5, partitions: int = 12):
         return _forced(spark, rows, partitions)
 
     return use
