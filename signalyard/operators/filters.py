@@ -74,7 +74,7 @@ def min_severity(logs: DataFrame, level: int | str) -> DataFrame:
 def where_prop(df: DataFrame, key: str, op: str, value=None, payload: str = "payload") -> DataFrame:
     """Predicate on a property: a comparison, ``exists`` or ``missing``.
 
-    The property is read as the type of ``value``; one of another type does not match.
+    The property is read as the type of ``value``; one that cannot be read so does not match.
     """
     prop = F.try_element_at(props_of(payload), F.lit(key))
     if op == "exists":
