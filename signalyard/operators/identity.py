@@ -17,7 +17,7 @@ def _large_star(links: DataFrame, scope: list[str]) -> DataFrame:
     larger = both.filter("b > a")
     return lookup(larger, smallest, [*scope, "a"], "inner").select(
         *scope, F.col("b").alias("a"), F.col("m").alias("b")
-    ).distinct()
+    )
 
 
 def _small_star(links: DataFrame, scope: list[str]) -> DataFrame:

@@ -36,20 +36,28 @@ def asof_group(events: DataFrame, groups: DataFrame, user: str = "user_id", grou
     return asof_backward(events, right, with_tenant(events, user), ["current_group"], row_order(events))
 
 
-def super_property_states(changes: DataFrame, client: str = "client_id") -> DataFrame:
-    """The registered properties after each change, as ``super_props map<string,variant>``.
+def super_property_states(
+    changes: DataFrame, client: str = "client_id", moments: DataFrame | None = None
+) -> DataFrame:
+    """The registered properties at each moment, as ``super_props map<string,variant>``.
 
     ``changes`` has (client, ts, seq, op, key, value): ``register`` sets a key to ``value`` (a JSON
-    value), ``unregister`` removes it. Work and output are one row per change and key of its client.
+    value), ``unregister`` removes it. ``moments`` has (client, ts, seq), by default those of the
+    changes; a change at a moment's own (ts, seq) counts.
     """
     scope = with_tenant(changes, client)
     order = row_order(changes)
     keys = changes.select(*scope, "key").distinct()
-    versions = changes.select(*scope, *order, F.col("key").alias("_key"), "op", "value")
-    # A JSON value is kept as text here: a variant cannot be ordered or grouped.
-    entry = F.when(F.col("key") == F.col("_key"), F.struct("op", "value"))
-    slots = versions.join(keys, scope).withColumn("_entry", entry)
-    held = Ordered.of(slots, [*scope, "key"], order).scan(_held=last_seen("_entry")).frame()
+    wanted = (changes if moments is None else moments).select(*scope, *order).distinct()
+    # One question per moment and key of its client: the size of the maps that come out.
+    questions = wanted.join(keys, scope).select(*scope, "key", *order, F.lit(1).alias("_rank"))
+    facts = changes.select(*scope, "key", *order, F.lit(0).alias("_rank"), F.struct("op", "value").alias("_set"))
+    held = (
+        Ordered.of(facts.unionByName(questions, allowMissingColumns=True), [*scope, "key"], [*order, "_rank"])
+        .scan(_held=last_seen("_set"))
+        .filter(F.col("_rank") == 1)
+        .frame()
+    )
     live = F.when(F.col("_held.op") == "register", F.struct("key", F.col("_held.value").alias("value")))
     states = held.groupBy(*scope, *order).agg(F.collect_list(live).alias("_live"))
     props = F.map_from_entries(
@@ -70,13 +78,18 @@ def asof_super_props(
 
     A change at the event's own time comes first. ``reserved`` keys and the ``props`` column are merged
     over the super properties, in this order; without either the payload is just the super properties.
+    States are built only for changes that some event comes right after.
     """
     from signalyard.operators.payloads import props_column
 
-    states = super_property_states(changes, client)
+    keys, order = with_tenant(events, client), row_order(events)
+    marks = changes.select(*keys, *order, F.struct(*order).alias("_change"))
+    met = asof_backward(events.select(*keys, *order), marks, keys, ["_change"], order)
+    moments = met.filter(F.col("_change").isNotNull()).select(*keys, "_change.*").distinct()
+    states = super_property_states(changes, client, moments)
     # Variants are carried as JSON text through the scan, which keeps the rows plain.
     text = states.withColumn("_super", F.to_json("super_props")).drop("super_props")
-    rows = asof_backward(events, text, with_tenant(events, client), ["_super"], row_order(events))
+    rows = asof_backward(events, text, keys, ["_super"], order)
     sources = [F.from_json("_super", "map<string,variant>")]
     if reserved:
         sources.append(as_props(reserved))
@@ -198,7 +211,7 @@ def users_with(
     did = events.filter(F.col("event_name").isin(*names))
     if population is None:
         return _users(did, user)
-    return population.join(did, with_tenant(population, user), "left_semi")
+    return population.join(_users(did, user), with_tenant(population, user), "left_semi")
 
 
 def orphan_aliases(aliases: DataFrame, events: DataFrame, user: str = "user_id") -> DataFrame:

@@ -39,7 +39,9 @@ def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of the plan (never runs a job)."""
+    """The optimizer's size estimate of the plan (never runs a job); unknown counts as large."""
+    if not hasattr(df, "_jdf"):
+        return 1 << 62
     stats = df._jdf.queryExecution().optimizedPlan().stats()
     return int(stats.sizeInBytes())
 

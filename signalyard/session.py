@@ -22,7 +22,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even if that costs one more exchange above the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # transformWithState needs the RocksDB provider; harmless for other streaming queries.
+    # Streaming state on local disk instead of on the heap: it may outgrow the memory of an executor.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
