@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalyard.functions.scalars import epoch_us
@@ -77,13 +77,14 @@ def funnel(
     long = users.select(F.explode(F.array_compact(F.array(*reached))).alias("s")).select("s.*")
     table = latency_summary(long, "seconds", ["step", "event_name"])
     # One row per step from here on.
-    counts = table.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("step", "n"))).alias("_by_step"))
-    joined = table.join(F.broadcast(counts))
+    by_step = F.map_from_entries(F.collect_list(F.struct("step", "n"))).alias("_by_step")
+    rows = table.groupBy().agg(by_step, F.collect_list(F.struct("step", "event_name", "n", "p50")).alias("_rows"))
+    flat = rows.select("_by_step", F.explode("_rows").alias("r")).select("_by_step", "r.*")
 
     def share(of: Column) -> Column:
         return F.col("n") / F.try_element_at("_by_step", of)
 
-    return joined.select(
+    return flat.select(
         "step",
         "event_name",
         F.col("n").alias("users"),
@@ -103,31 +104,38 @@ def retention(
 ) -> DataFrame:
     """Cohorts by the period of a user's first event; how many come back n periods later.
 
-    ``first`` and ``returning`` name the events that count (all when left out). Rows are reduced to
-    user-periods before users are joined to their cohort.
+    ``first`` and ``returning`` name the events that count (all when left out). One pass over the
+    events reduces them to user-periods; everything after works on those.
     """
 
-    def named(names: Sequence[str] | None) -> DataFrame:
-        return events if names is None else events.filter(F.col(name).isin(*names))
+    def named(names: Sequence[str] | None) -> Column:
+        return F.lit(True) if names is None else F.coalesce(F.col(name).isin(*names), F.lit(False))
 
-    keys = with_tenant(events, user)
+    keys, scope = with_tenant(events, user), with_tenant(events)
     start = F.date_trunc(period, "ts").cast("date")
-    cohorts = named(first).groupBy(*keys).agg(F.min(start).alias("cohort"))
-    visits = named(returning).select(*keys, start.alias("_period")).distinct()
+    visits = events.groupBy(*keys, start.alias("_period")).agg(
+        F.bool_or(named(first)).alias("_first"), F.bool_or(named(returning)).alias("_back")
+    )
+    # A user has as many rows as there are periods.
+    per_user = Window.partitionBy(*keys)
+    joined = visits.withColumn("cohort", F.min(F.when(F.col("_first"), F.col("_period"))).over(per_user))
     apart = {
         "day": F.datediff("_period", "cohort"),
         "week": F.call_function("div", F.datediff("_period", "cohort"), F.lit(7)),
         "month": F.months_between("_period", "cohort").cast("int"),
     }[period]
-    scope = with_tenant(events)
-    back = (
-        visits.join(cohorts, keys)
-        .filter(F.col("_period") >= F.col("cohort"))
+    counts = (
+        joined.filter(F.col("_period") >= F.col("cohort"))
         .groupBy(*scope, "cohort", apart.cast("int").alias("n"))
-        .agg(F.count("*").alias("users"))
+        .agg(F.count_if("_back").alias("users"), F.count_if(F.col("_period") == F.col("cohort")).alias("_size"))
+    )
+    # One row per cohort and period from here on; the cohort's size is in its first period.
+    size = F.max("_size").over(Window.partitionBy(*scope, "cohort"))
+    return (
+        counts.withColumn("cohort_size", size)
+        .filter("users > 0")
+        .select(*scope, "cohort", "n", "users", "cohort_size", (F.col("users") / F.col("cohort_size")).alias("share"))
     )
-    sizes = cohorts.groupBy(*scope, "cohort").agg(F.count("*").alias("cohort_size"))
-    return back.join(sizes, [*scope, "cohort"]).withColumn("share", F.col("users") / F.col("cohort_size"))
 
 
 def retention_table(retained: DataFrame, periods: Sequence[int]) -> DataFrame:

@@ -87,14 +87,14 @@ def counter_normalize(metrics: DataFrame) -> DataFrame:
     """
     series = with_series(metrics)
     none = F.lit(None).cast(ERROR_DDL)
-    deltas = series.filter("temporality = 'delta'").withColumn("error", none)
-    steps = counter_steps(series.filter("temporality = 'cumulative'"))
-    grown = steps.withColumns({"value": F.col("step"), "temporality": F.lit("delta"), "error": none}).drop("step")
-    rejected = series.filter("temporality IS NULL OR temporality NOT IN ('delta', 'cumulative')").withColumn(
-        "error",
-        F.struct(F.lit("temporality").alias("field"), F.lit("is unspecified").alias("reason")).cast(ERROR_DDL),
+    wrong = F.struct(F.lit("temporality").alias("field"), F.lit("is unspecified").alias("reason")).cast(ERROR_DDL)
+    is_cumulative = F.equal_null("temporality", F.lit("cumulative"))
+    as_given = series.filter(~is_cumulative).withColumn(
+        "error", F.when(F.equal_null("temporality", F.lit("delta")), none).otherwise(wrong)
     )
-    return deltas.unionByName(grown).unionByName(rejected)
+    steps = counter_steps(series.filter(is_cumulative))
+    grown = steps.withColumns({"value": F.col("step"), "temporality": F.lit("delta"), "error": none}).drop("step")
+    return as_given.unionByName(grown)
 
 
 def series_cardinality(metrics: DataFrame, exact: bool = False) -> DataFrame:
@@ -125,5 +125,5 @@ def moving_gauge(metrics: DataFrame, rows: int | None = None, interval: str | No
     keys = with_tenant(series, "series_key")
     if rows is not None:
         return trailing_rows(series, keys, row_order(series), rows, "value")
-    result = trailing_range(series, [*with_tenant(series, "name"), "series_key"], interval, "value")
+    result = trailing_range(series, keys, interval, "value")
     return result.withColumn("mean", F.col("sum") / F.nullif("n", F.lit(0))).drop("sum")

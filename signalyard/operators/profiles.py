@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from signalyard.functions.payload import merged_map, props_of
 from signalyard.operators.keys import row_order, with_tenant
+from signalyard.plans import Ordered, next_row
 
 
 def latest_traits(
@@ -56,18 +57,19 @@ def group_profiles(groups: DataFrame, group: str = "group_id", payload: str = "p
 def group_members(groups: DataFrame, user: str = "user_id", group: str = "group_id") -> DataFrame:
     """Per group: distinct members, first and last join, and how many are currently in it.
 
-    A user is currently in the group they joined last.
+    A user is currently in the group they joined last. One pass: rows are reduced to (group, user), of
+    which the last one per user is the current membership.
     """
     keys = with_tenant(groups, group)
-    per_user = groups.groupBy(*keys, user).agg(F.min("ts").alias("_first"), F.max("ts").alias("_last"))
-    per_group = per_user.groupBy(*keys).agg(
+    pairs = groups.groupBy(*keys, user).agg(
+        F.min("ts").alias("_first"), F.max("ts").alias("_last"), F.max(F.struct(*row_order(groups))).alias("_order")
+    )
+    placed = Ordered.of(pairs, with_tenant(groups, user), ["_order", group]).scan(_later=next_row("_order")).frame()
+    return placed.groupBy(*keys).agg(
         F.count("*").alias("members"),
         F.min("_first").alias("first_joined"),
         F.max("_last").alias("last_joined"),
-    )
-    now = current_groups(groups, user, group).groupBy(*keys).agg(F.count("*").alias("current_members"))
-    return per_group.join(now, keys, "left").withColumn(
-        "current_members", F.coalesce("current_members", F.lit(0))
+        F.count_if(F.col("_later").isNull()).alias("current_members"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from signalyard.functions.payload import merged_map, props_of
 from signalyard.operators.ordering import first_n
 from signalyard.operators.payloads import explode_props
+from signalyard.session import durable
 
 
 def prop_stats(df: DataFrame, name: str = "event_name", payload: str = "payload", k: int = 5) -> DataFrame:
@@ -20,6 +21,7 @@ def prop_stats(df: DataFrame, name: str = "event_name", payload: str = "payload"
     values = explode_props(df, [name], payload).groupBy(name, "key", "json_type", "value").agg(F.count("*").alias("c"))
     # A value can occur in several JSON types; count it once as a distinct value.
     once = values.groupBy(name, "key", "value").agg(F.sum("c").alias("c"), F.collect_set("json_type").alias("types"))
+    once = durable(once)  # read twice below; payloads are parsed once
     totals = once.groupBy(name, "key").agg(
         F.sum("c").alias("n_filled"),
         F.count("value").alias("n_distinct"),
