@@ -8,10 +8,12 @@ micro-batch is bounded at the source (``bounded_intake``). State travels with th
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -20,6 +22,9 @@ from signalyard.operators.keys import with_tenant
 from signalyard.operators.metrics import with_series
 from signalyard.plans.trailing import width_us
 
+# The processors travel to the workers with their helpers, which therefore need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _ordered(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
     return pd.concat(list(rows), ignore_index=True).sort_values(by, kind="stable", ignore_index=True)

@@ -39,8 +39,14 @@ def drain(t, stream: DataFrame, mode: str = "append") -> DataFrame:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/out/flush={batch_id}")
 
-    run = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{path}/checkpoint")
-    run.trigger(availableNow=True).start().awaitTermination()
+    # A stream keeps the number of state partitions it starts with: one per core of the cluster.
+    partitions = t.spark.conf.get("spark.sql.shuffle.partitions")
+    t.spark.conf.set("spark.sql.shuffle.partitions", str(t.spark.sparkContext.defaultParallelism))
+    try:
+        run = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{path}/checkpoint")
+        run.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        t.spark.conf.set("spark.sql.shuffle.partitions", partitions)
     out = t.spark.read.schema(empty.schema).parquet(f"{path}/out")
     if mode == "complete":
         newest = out.agg(F.max("flush").alias("newest"))  # one row
