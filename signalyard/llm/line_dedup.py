@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,15 +45,15 @@ def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 _DECIDED = pa.schema(
     [
         ("kind", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("rank", pa.int64()), ("doc_id", pa.int64()),
-        ("text_key", pa.int64()), ("pos", pa.int32()), ("ranks", pa.list_(pa.int64())),
+        ("text_key", pa.int64()), ("pos", pa.int32()), ("batch", pa.int64()), ("ranks", pa.list_(pa.int64())),
     ]
 )
-_DECIDED_DDL = "kind int, h1 long, h2 long, rank long, doc_id long, text_key long, pos int, ranks array<bigint>"
+_DECIDED_DDL = "kind int, h1 long, h2 long, rank long, doc_id long, text_key long, pos int, batch long, ranks array<bigint>"
 _LINE = ["h1", "h2", "rank", "doc_id", "text_key", "pos"]
 
 
-def decide(batch: pa.RecordBatch, min_docs: int) -> Iterator[pa.RecordBatch]:
-    """The lines of a sorted batch: dropped, waiting, or (not returned) kept."""
+def decide(batch: pa.RecordBatch, number: int, min_docs: int) -> Iterator[pa.RecordBatch]:
+    """The lines of a sorted batch, which has a ``number`` of its own: dropped, waiting, or (not returned) kept."""
     h1, h2, rank = (batch.column(c).to_numpy() for c in ("h1", "h2", "rank"))
     new = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
     begins = np.flatnonzero(new)
@@ -64,7 +65,8 @@ def decide(batch: pa.RecordBatch, min_docs: int) -> Iterator[pa.RecordBatch]:
     for kind, chosen in ((0, drop), (1, edge)):
         lines = batch.filter(pa.array(chosen))
         n = lines.num_rows
-        yield batch_of(_DECIDED, kind=[kind] * n, ranks=[None] * n, **{c: lines.column(c) for c in _LINE})
+        own = {c: lines.column(c) for c in _LINE}
+        yield batch_of(_DECIDED, kind=[kind] * n, batch=[number] * n, ranks=[None] * n, **own)
     shares = []
     for k in {0, int(run[-1])}:
         own = rank[(run == k) & new_doc][:min_docs]  # the first documents are enough to tell
@@ -72,7 +74,7 @@ def decide(batch: pa.RecordBatch, min_docs: int) -> Iterator[pa.RecordBatch]:
     none = [None] * len(shares)
     yield batch_of(
         _DECIDED, kind=[2] * len(shares), h1=[s[0] for s in shares], h2=[s[1] for s in shares], rank=none, doc_id=none,
-        text_key=none, pos=none, ranks=[s[2] for s in shares],
+        text_key=none, pos=none, batch=[number] * len(shares), ranks=[s[2] for s in shares],
     )
 
 
@@ -110,17 +112,21 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     )
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        first = TaskContext.get().partitionId() << 32
+        for number, batch in enumerate(batches, first):
             if batch.num_rows:
-                yield from decide(batch, min_docs)
+                yield from decide(batch, number, min_docs)
 
     # Written once: the sampled ranges must be the same for lines and totals.
     decided = durable(ordered.mapInArrow(stream, _DECIDED_DDL))
-    ranks = decided.filter("kind = 2").select("h1", "h2", F.explode("ranks").alias("rank")).distinct()
+    shares = decided.filter("kind = 2")
+    ranks = shares.select("h1", "h2", F.explode("ranks").alias("rank")).distinct()
     totals = ranks.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("rank").alias("first"))
+    # A total goes to each batch that waits for it, so that no join key has more lines than a batch.
+    answers = shares.select("h1", "h2", "batch").join(totals.filter(F.col("n") >= min_docs), ["h1", "h2"])
     late = (
         decided.filter("kind = 1")
-        .join(totals.filter(F.col("n") >= min_docs), ["h1", "h2"])
+        .join(answers.drop("n"), ["batch", "h1", "h2"])
         .filter(F.col("rank") != F.col("first"))
     )
     lost = decided.filter("kind = 0").unionByName(late.select(*decided.columns))
