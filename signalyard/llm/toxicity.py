@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalyard.llm.common import Rolling, batch_of, blocks, ship, utf8
+from signalyard.session import durable
 
 GRAMS = (4, 5, 6)
 BITS = 18
@@ -65,39 +66,34 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total + self.intercept, -30, 30)))
 
 
+def log_ratio(yes: np.ndarray, every: np.ndarray, n_yes: float, n: float) -> np.ndarray:
+    """How much likelier a feature is in toxic texts, as a smoothed log ratio of presences."""
+    return np.log((yes + 1) / (n_yes + 2)) - np.log((every - yes + 1) / (n - n_yes + 2))
+
+
 def fit(
-    features: list[np.ndarray], toxic: np.ndarray, share: np.ndarray, n_features: int = FEATURES, steps: int = 300
+    chosen: np.ndarray, ratio: np.ndarray, features: list[np.ndarray], toxic: np.ndarray, share: np.ndarray, steps: int = 300
 ) -> Model:
-    """Fit on the distinct features of each text. ``share``: how many labelled texts a text stands for."""
-    empty = Model(np.zeros(1 << BITS), 0.0)
+    """Weigh the ``chosen`` features, scaled by ``ratio``, by a logistic regression.
+
+    ``features``: which of them each text has; ``share``: how many labelled texts a text stands for.
+    """
     n = len(features)
     if not n:
-        return empty
+        return Model(np.zeros(1 << BITS), 0.0)
     prior = float((share * toxic).sum() / share.sum())
     prior = min(max(prior, 1e-6), 1 - 1e-6)
-    if len(set(toxic.tolist())) < 2:
-        return Model(empty.weight, float(np.log(prior / (1 - prior))))
-    flat = np.concatenate(features)
-    owner = np.repeat(np.arange(n), [len(f) for f in features])
-    yes = np.bincount(flat, weights=toxic[owner], minlength=1 << BITS)
-    every = np.bincount(flat, minlength=1 << BITS)
-    no, n_yes, n_no = every - yes, toxic.sum(), n - toxic.sum()
-    ratio = np.log((yes + 1) / (n_yes + 2)) - np.log((no + 1) / (n_no + 2))
-    # The features that tell the classes apart best (chi-square of presence).
-    expected = every * n_yes / n
-    spread = expected * (1 - every / n) * (n_no / n)
-    chi = np.where(every > 4, (yes - expected) ** 2 / np.maximum(spread, 1e-9), 0)
-    chosen = np.sort(np.argsort(-chi, kind="stable")[:n_features])
-    chosen = chosen[chi[chosen] > 0]
-    place = np.full(1 << BITS, -1)
+    if len(set(toxic.tolist())) < 2 or not len(chosen):
+        return Model(np.zeros(1 << BITS), float(np.log(prior / (1 - prior))))
+    place = np.zeros(1 << BITS, np.int64)
     place[chosen] = np.arange(len(chosen))
     x = np.zeros((n, len(chosen)), np.float32)
-    kept = place[flat] >= 0
-    x[owner[kept], place[flat[kept]]] = ratio[flat[kept]]
+    flat = place[np.concatenate(features)]
+    x[np.repeat(np.arange(n), [len(f) for f in features]), flat] = ratio[flat]
     # Accelerated gradient steps on the weighted, L2-penalized logistic loss.
     weight = share / share.sum()
     penalty = 1e-3
-    bound = 0.25 * float((weight * ((x.astype(np.float64) ** 2).sum(1) + 1)).sum()) + penalty
+    bound = 0.25 * float(weight @ (np.einsum("ij,ij->i", x, x) + 1)) + penalty
     b = b_ahead = np.log(prior / (1 - prior))
     w = w_ahead = np.zeros(len(chosen))
     momentum = 1.0
@@ -110,7 +106,7 @@ def fit(
         b_ahead = b_next + (momentum - 1) / after * (b_next - b)
         w, b, momentum = w_next, b_next, after
     out = np.zeros(1 << BITS)
-    out[chosen] = w * ratio[chosen]
+    out[chosen] = w * ratio
     return Model(out, float(b))
 
 
@@ -119,7 +115,13 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
+_COUNTS = pa.schema([("feature", pa.int64()), ("yes", pa.int64()), ("every", pa.int64())])
+_EXAMPLES = pa.schema([("toxic", pa.int32()), ("features", pa.binary())])
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, n_features: int = FEATURES
+) -> Model:
     """Fit on at most ``per_class`` labelled texts of each class that are not held out.
 
     The sample is the rows with the least hash of doc_id; every text stands for as many as its class has in the sample's place, so
@@ -136,23 +138,55 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     # At most 2 * per_class rows.
     sample = F.broadcast(picked[0].unionByName(picked[1]))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id").select("toxic", "text")
+    texts = durable(texts.filter("toxic IS NOT NULL"))
+    n, n_yes = texts.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("toxic", pa.int32()), ("features", pa.binary())])
+    def present(block: pa.RecordBatch, among: np.ndarray | None = None) -> np.ndarray:
+        row, feature = gram_features(*utf8(block.column("text")))
+        if among is not None:
+            row, feature = row[among[feature]], feature[among[feature]]
+        return np.unique((row << BITS) | feature)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yes, every = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+        for block in blocks(batches):
+            pairs = present(block)
+            feature = pairs & ((1 << BITS) - 1)
+            toxic = block.column("toxic").to_numpy()[pairs >> BITS]
+            every += np.bincount(feature, minlength=1 << BITS)
+            yes += np.bincount(feature[toxic == 1], minlength=1 << BITS)
+        seen = np.flatnonzero(every)
+        yield batch_of(_COUNTS, feature=seen, yes=yes[seen], every=every[seen])
+
+    counts = texts.mapInArrow(count, "feature long, yes long, every long").groupBy("feature").agg(
+        F.sum("yes").alias("yes"), F.sum("every").alias("every")
+    )
+    # The features that tell the classes apart best: chi-square of presence.
+    expected = F.col("every") * (n_yes / max(1, n))
+    spread = expected * (1 - F.col("every") / max(1, n)) * ((n - n_yes) / max(1, n))
+    chi = F.when((F.col("every") > 4) & (spread > 0), F.pow(F.col("yes") - expected, 2) / spread)
+    best = counts.withColumn("chi", chi).filter("chi > 0").orderBy(F.desc("chi"), "feature").limit(n_features).collect()
+    best.sort(key=lambda r: r["feature"])
+    chosen = np.array([r["feature"] for r in best], np.int64)
+    ratio = log_ratio(*(np.array([r[c] for r in best], np.float64) for c in ("yes", "every")), n_yes, n)
+    among = np.zeros(1 << BITS, bool)
+    among[chosen] = True
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            row, feature = gram_features(*utf8(block.column("text")))
-            pairs = np.unique((row << BITS) | feature)
+            pairs = present(block, among)
             upto = np.searchsorted(pairs >> BITS, np.arange(block.num_rows + 1)).tolist()
             packed = (pairs & ((1 << BITS) - 1)).astype("<i4")
             yield batch_of(
-                schema, toxic=block.column("toxic"),
+                _EXAMPLES, toxic=block.column("toxic"),
                 features=[packed[a:b].tobytes() for a, b in zip(upto[:-1], upto[1:], strict=True)],
             )
 
-    rows = texts.mapInArrow(run, "toxic int, features binary").orderBy("toxic", "features").collect()
-    toxic = np.array([r["toxic"] for r in rows], np.float64)
-    share = np.array([total[r["toxic"]] / max(1, int((toxic == r["toxic"]).sum())) for r in rows])
-    return fit([np.frombuffer(r["features"], "<i4") for r in rows], toxic, share)
+    # At most 2 * per_class rows of at most n_features ids.
+    rows = sorted((r["toxic"], bytes(r["features"])) for r in texts.mapInArrow(extract, "toxic int, features binary").collect())
+    toxic = np.array([t for t, _ in rows], np.float64)
+    share = np.array([total[t] / max(1, int((toxic == t).sum())) for t, _ in rows])
+    return fit(chosen, ratio, [np.frombuffer(f, "<i4") for _, f in rows], toxic, share)
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
