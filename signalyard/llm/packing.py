@@ -120,7 +120,7 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 1) ->
         packer = Packer(size)
         number = TaskContext.get().partitionId() * SEQUENCES_PER_TASK
         for block in blocks(batches):
-            known = zip(block.column("doc_id").to_pylist(), encode(block.column("text").to_pylist()), strict=True)
+            known = zip(block.column("doc_id").to_pylist(), encode(block.column("text")), strict=True)
             for doc_id, ids in known:
                 ids += end
                 total = len(ids) // 4

@@ -246,7 +246,7 @@ def write_tokens(
                 held[1].clear()
 
             for block in blocks(batches):
-                ids = encode(block.column("text").to_pylist())
+                ids = encode(block.column("text"))
                 for doc_id, own in zip(block.column("doc_id").to_pylist(), ids, strict=True):
                     if held[0] and size + len(own) // 4 >= shard_ids:
                         flush()
