@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bytes of text that one numpy pass works on; a longer text is a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _shipped: set[str] = set()
 
@@ -100,19 +100,22 @@ def _symbols() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
-@cache
-def _powers_upto(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(n, _BASE), np.full(n, _INVERSE)
-    up[0] = down[0] = 1
-    with np.errstate(over="ignore"):
-        return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+_kept_powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
-    if size > 8 * BLOCK_BYTES:
-        _powers_upto.cache_clear()
-    return _powers_upto(size)
+    """At least ``n`` powers of the base and of its inverse; those of ordinary blocks are kept."""
+    if _kept_powers and len(_kept_powers[0][0]) >= n:
+        return _kept_powers[0]
+    size = -(-n // (1 << 17)) << 17
+    up, down = np.full(size, _BASE), np.full(size, _INVERSE)
+    up[0] = down[0] = 1
+    with np.errstate(over="ignore"):
+        np.cumprod(up, out=up)
+        np.cumprod(down, out=down)
+    if size <= 2 * BLOCK_BYTES:
+        _kept_powers[:] = [(up, down)]
+    return up, down
 
 
 class Rolling:

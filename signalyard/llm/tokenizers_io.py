@@ -13,7 +13,7 @@ import pyarrow as pa
 from signalyard.llm.common import Rolling, utf8
 
 # Distinct words whose ids a Python worker remembers; beyond it the memory starts anew.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
