@@ -1,0 +1,310 @@
+"""Operators and the pipeline on small tables with nulls, ties, repeats, long texts, clashing columns and no rows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import defaultdict
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+
+pytest.importorskip("signalyard.llm")
+tokenizers = pytest.importorskip("tokenizers")
+pytest.importorskip("public_tokenizers")
+
+import corpus_pipeline  # noqa: E402
+from check import TABLES, _table  # noqa: E402
+from signalyard.llm import (  # noqa: E402
+    decontaminate, line_dedup, minhash, packing, quality, token_counts, token_files, toxicity, url_filter, warc,
+)
+from signalyard.llm.queries import ORACLES, QUERIES, vocabulary  # noqa: E402
+
+FOLDER = "/root/testdata/sf0.001"
+DDL = "doc_id long, text string, row string, n_lines long, kept int, key string"
+
+
+def _words(seed: int, n: int) -> list[str]:
+    draw = random.Random(seed)
+    return [f"{draw.choice('abcdefgh')}{draw.randint(0, 5000)}" for _ in range(n)]
+
+
+SHARED = "This line of the licence is shared by many."
+BASE = _words(1, 300)
+ROWS = [
+    (1, " ".join(BASE)), (2, " ".join(BASE)), (3, " ".join(BASE[:290])), (4, f"{SHARED}\nown line\n{SHARED}"),
+    (5, f" {SHARED.upper()} \nmine"), (6, SHARED), (6, SHARED), (7, None), (8, ""), (None, f"{SHARED}\nno id"), (None, None),
+    (9, " ".join(_words(2, 40_000))), (10, "\n".join(["again and again and again it says"] * 30)), (11, "é ß 日本 \x1c <|endoftext|> Σ"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame([(i, t, "r", 5, 6, "k") for i, t in ROWS], DDL).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DDL)
+
+
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_equals_sql(spark, name):
+    db = duckdb.connect()
+    for table in TABLES:
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    cursor = db.execute(ORACLES[name])
+    df = QUERIES[name](spark, FOLDER)
+    assert _table(df.columns, df.collect()) == _table([c[0] for c in cursor.description], cursor.fetchall())
+
+
+def test_quality(docs, none):
+    got = quality.repetition(docs).collect()
+    assert len(got) == len(ROWS) and quality.repetition(none).count() == 0
+    by = {r["doc_id"]: r for r in got if r["doc_id"] is not None}
+    assert by[1]["kept"] and by[9]["kept"] and by[9]["n_words"] == 40_000 and by[1]["row"] == "r"
+    assert by[10]["base_failed"] and not by[10]["kept"] and by[10]["n_dup_lines"] == 29
+    assert by[7]["base_failed"] and by[8]["base_failed"]
+
+
+def test_line_dedup(docs, none):
+    got = line_dedup.dedup_lines(docs)
+    assert got.columns == ["doc_id", "text", "row", "kept", "key", "n_lines", "n_dropped"]
+    rows = sorted(((r["doc_id"] or 0, r["text"], r["n_lines"], r["n_dropped"]) for r in got.collect()), key=repr)
+    assert len(rows) == len(ROWS) and line_dedup.dedup_lines(none).count() == 0
+    # The largest doc_id keeps its lines; both rows of it; a null id counts as one more, smaller document.
+    assert [r for r in rows if r[0] == 4] == [(4, "own line", 3, 2)]
+    assert [r for r in rows if r[0] == 5] == [(5, "mine", 2, 1)]
+    assert [r for r in rows if r[0] == 6] == [(6, SHARED, 1, 0)] * 2
+    assert (0, "no id", 2, 1) in rows and (7, "", 1, 0) in rows and (0, "", 1, 0) in rows
+    assert [r for r in rows if r[0] == 10][0][2:] == (30, 0)
+
+
+def test_line_dedup_with_a_line_over_many_batches(spark):
+    rows = [(k, f"{SHARED}\nline number {k} is only here, once\na line that just two hold, {k // 2}") for k in range(400)]
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+        got = {r["doc_id"]: r["n_dropped"] for r in line_dedup.dedup_lines(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    assert got == {k: int(k != 399) for k in range(400)}
+
+
+def test_warc(spark, tmp_path):
+    big = "<p>" + "x" * 2000 + "</p>"
+    rows = [(1, "http://a/", big), (2, None, big), (2, "http://a b\n", big), (3, "u", None), (4, "v", "é"), (None, "w", big), (5, "u", "é")]
+    pages = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, digest string")
+    manifest = warc.write_warc(pages, str(tmp_path / "a"), roll_bytes=100)
+    got = sorted(((r.page_id, r.record_type, r.refers_to, r.payload_bytes, r.payload_digest) for r in warc.read_warc(manifest).collect()), key=repr)
+    sha = {t: hashlib.sha1(t.encode()).hexdigest() for t in (big, "", "é")}
+    want = [(1, "revisit", 2, 2007, sha[big]), (2, "response", None, 2007, sha[big]), (2, "revisit", 2, 2007, sha[big]),
+            (3, "response", None, 0, sha[""]), (4, "response", None, 2, sha["é"]), (5, "response", None, 2, sha["é"]),
+            (None, "revisit", 2, 2007, sha[big])]
+    assert got == sorted(want, key=repr)
+    files = {p.name: p.read_bytes() for p in (tmp_path / "a").iterdir() if p.suffix == ".gz"}
+    assert len(files) >= 2 and not [p for p in (tmp_path / "a").iterdir() if p.name.startswith("_")]
+    warc.write_warc(pages, str(tmp_path / "b"), roll_bytes=100)
+    assert files == {p.name: p.read_bytes() for p in (tmp_path / "b").iterdir() if p.suffix == ".gz"}
+    assert warc.read_warc(warc.write_warc(pages.limit(0), str(tmp_path / "c"))).count() == 0
+
+
+def _library(name):
+    return tokenizers.Tokenizer.from_file(vocabulary(name))
+
+
+def test_token_counts(docs, none):
+    library = _library("byte_bpe_50k.json")
+    got = sorted(((r["doc_id"], r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in token_counts.token_counts(docs, vocabulary("byte_bpe_50k.json")).collect()), key=repr)
+    want = [(i, len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in ROWS]
+    assert got == sorted(((*w, w[2] > 1024) for w in want), key=repr)
+    assert token_counts.token_counts(none, vocabulary("byte_bpe_50k.json")).count() == 0
+
+
+def _ids():
+    library = _library("word_bpe_49k.json")
+    return [(i, library.encode(t or "", add_special_tokens=False).ids) for i, t in ROWS]
+
+
+def test_packing(docs, none):
+    pieces = packing.pack(docs, vocabulary("word_bpe_49k.json"), size=256).collect()
+    windows, parts = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        windows[p["sequence_id"]].append((p["offset"], p["length"]))
+        parts[p["doc_id"], p["doc_tokens"]].append((p["start"], np.frombuffer(p["ids"], "<u4").tolist()))
+        assert len(p["ids"]) == 4 * p["length"]
+    for own in windows.values():
+        assert [o for o, _ in sorted(own)] == [0, *np.cumsum([n for _, n in sorted(own)]).tolist()][:-1]
+        assert sum(n for _, n in own) <= 256
+    whole = defaultdict(int)
+    for i, ids in _ids():
+        whole[i, len(ids) + 1] += 1
+    assert {k: sum(len(x) for _, x in v) for k, v in parts.items()} == {k: n * k[1] for k, n in whole.items()}
+    for i, ids in _ids():
+        if whole[i, len(ids) + 1] == 1:
+            assert sum((x for _, x in sorted(parts[i, len(ids) + 1])), []) == [*ids, 1]
+    assert packing.pack(none, vocabulary("word_bpe_49k.json")).count() == 0
+
+
+def test_token_files(docs, none, tmp_path):
+    manifest = token_files.write_tokens(docs, vocabulary("word_bpe_49k.json"), str(tmp_path / "t"), shard_ids=5000)
+    got = sorted(token_files.read_tokens(manifest).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == sorted((i for i, _ in ROWS), key=lambda i: (i is not None, i or 0))
+    assert [r["start"] for r in got] == [0, *np.cumsum([r["n_tokens"] for r in got]).tolist()][:-1]
+    want = sorted(((i, [*ids, 2]) for i, ids in _ids()), key=repr)
+    assert sorted(((r["doc_id"], np.frombuffer(r["ids"], "<u4").tolist()) for r in got), key=repr) == want
+    empty = token_files.write_tokens(none, vocabulary("word_bpe_49k.json"), str(tmp_path / "e"))
+    assert token_files.read_tokens(empty).count() == 0
+
+
+def _shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    draw = random.Random(9)
+    rows = []
+    for family in range(12):
+        origin = _words(100 + family, 120)
+        for _ in range(25):
+            own = list(origin)
+            for _ in range(draw.choice([0, 1, 2, 3, 4, 6, 9])):
+                own[draw.randrange(len(own))] = f"z{draw.randint(0, 10**6)}"
+            rows.append((len(rows), " ".join(own)))
+    sets = [_shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(df).collect()}
+    assert got == {i: root(i) for i in range(len(rows))} and 12 < len(set(got.values())) < 250
+
+
+def test_near_duplicates_edges(docs, none):
+    got = sorted(((r["doc_id"], r["class_id"]) for r in minhash.near_duplicates(docs).collect()), key=repr)
+    assert [c for i, c in got if i in (1, 2, 3)] == [1, 1, 1] and len(got) == len(ROWS)
+    # Rows 5 and 6 share 5 of 6 shingles, case aside.
+    assert [c for i, c in got if i in (5, 6, 7, 8, 9)] == [5, 5, 5, 7, 8, 9]
+    kept = minhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    ids = sorted((r["doc_id"] for r in kept.collect()), key=repr)
+    assert ids == sorted([1, 4, 5, 7, 8, 9, 10, 11, None, None], key=repr)
+    assert minhash.near_duplicates(none).count() == 0 and minhash.keep_one(none).count() == 0
+
+
+def test_decontamination_in_one_pass_and_many(spark, docs, none):
+    items = spark.createDataFrame(
+        [(1, " ".join(BASE[5:40])), (2, "own LINE"), (2, "own LINE"), (3, None), (None, "own line"), (4, "..."), (5, " ".join(BASE[30:60]))],
+        "item_id long, text string",
+    )
+    asked = ["doc_id", "item_ids", "begins", "ends", "n_words", "n_hit", "contaminated", "row"]
+    one = sorted(map(repr, decontaminate.match_benchmark(docs, items).select(*asked).collect()))
+    many = sorted(map(repr, decontaminate.match_benchmark(docs, items, pass_bytes=100).select(*asked).collect()))
+    assert one == many and len(one) == len(ROWS)
+    by = {r["doc_id"]: r for r in decontaminate.match_benchmark(docs, items).collect()}
+    assert (by[1]["item_ids"], by[1]["begins"], by[1]["ends"], by[1]["n_hit"]) == ([1, 5], [5], [60], 55) and by[1]["contaminated"]
+    assert by[4]["item_ids"] == [2] and by[4]["n_hit"] == 2 and by[8]["n_words"] == 0 and not by[8]["contaminated"]
+    assert decontaminate.match_benchmark(none, items).count() == 0
+    assert decontaminate.match_benchmark(docs, items.limit(0)).filter("contaminated").count() == 0
+
+
+def test_toxicity_on_held_out_rows(spark, none):
+    draw = random.Random(10)
+    rows = []
+    for k in range(1200):
+        bad = draw.random() < 0.3
+        words = _words(1000 + k, draw.randint(20, 200))
+        for _ in range(2 if bad else 0):
+            words[draw.randrange(len(words))] = draw.choice(["vile", "rotten", "filth!"])
+        rows.append((k, " ".join(words), int(bad)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
+    labels = df.select("doc_id", "toxic").union(spark.createDataFrame([(None, 1), (5, None)], "doc_id long, toxic int"))
+    texts = df.select("doc_id", "text").union(spark.createDataFrame([(9999, None), (None, "vile")], "doc_id long, text string"))
+    model = toxicity.train(texts, labels)
+    scored = toxicity.score_toxicity(texts, model).join(df.select("doc_id", "toxic"), "doc_id").filter("held_out").collect()
+    assert len(scored) > 200 and np.mean([r["predicted"] == r["toxic"] for r in scored]) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in scored)
+    assert toxicity.train(texts, labels.limit(0)).intercept == 0.0 and toxicity.score_toxicity(none, model).count() == 0
+
+
+def test_urls(spark):
+    rows = [(1, "http://A.example.NET/en/1?x=1"), (2, "https://example.net/de/1"), (3, "http://q.org/fr/"), (4, "http://q.org"),
+            (5, None), (6, "no host"), (7, "ftp://example.com/de/x#y"), (8, "http://notexample.com/de/1"), (9, "x://?://y/z"), (7, "ftp://example.com/de/x#y")]
+    pages = spark.createDataFrame([(*r, "h") for r in rows], "page_id long, url string, host string")
+    got = {r["page_id"]: r for r in url_filter.judge_urls(pages).collect()}
+    assert [got[k]["rule"] for k in range(1, 10)] == ["example.net/en/", "net/", "org/fr/", None, None, None, "example.com/de/", None, None]
+    assert [got[k]["verdict"] for k in (1, 2, 3, 7)] == ["allow", "block", "allow", "block"]
+    assert (got[1]["host"], got[1]["path"]) == ("a.example.net", "/en/1") and (got[6]["host"], got[6]["path"]) == ("", "")
+    assert (got[9]["host"], got[9]["path"], got[4]["path"]) == ("", "", "")
+    assert all(got[k]["verdict"] in ("allow", "block") for k in got) and url_filter.judge_urls(pages.limit(0)).count() == 0
+
+
+def test_trees_learn_from_lexical_features(spark):
+    draw = random.Random(11)
+    rows = []
+    for k in range(600):
+        bad = draw.random() < 0.5
+        rows.append((k, f"http://{'9' * draw.randint(5, 9) if bad else 'w'}{k % 7}.site.com/{'a/' * draw.randint(0, 3)}", int(bad)))
+    host, path = url_filter.host_and_path(url_filter.F.col("url"))
+    df = spark.createDataFrame(rows, "page_id long, url string, label int").withColumns({"host": host, "path": path})
+    model = url_filter.train(df, url_filter.F.col("label"))
+    named = model.features(*(url_filter.F.col(c) for c in ("url", "host", "path")))
+    right = df.withColumns(named).withColumn("p", model.score({f: url_filter.F.col(f) for f in named}))
+    assert right.filter("(p >= 0.5) = (label = 1)").count() > 580
+
+
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
+def test_pipeline_against_single_stages(spark):
+    """Each stage works on what its predecessor kept; a brute-force run gives the same documents."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    fine = quality.repetition(docs).filter("kept").collect()
+    rows = {r["doc_id"]: rows[r["doc_id"]] or "" for r in fine}
+    holders = defaultdict(set)
+
+    def key(line):
+        return line.strip(" \t\n\v\f\r").translate({c: c + 32 for c in range(65, 91)})
+
+    for i, text in rows.items():
+        for line in text.split("\n"):
+            holders[key(line)].add(i)
+    gone = {k: max(v) for k, v in holders.items() if len(k) >= 20 and len(v) >= 3}
+    rows = {i: "\n".join(x for x in t.split("\n") if gone.get(key(x), i) == i) for i, t in rows.items()}
+    sets = {i: _shingles(t) for i, t in rows.items()}
+    parent = {i: i for i in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in rows:
+        for j in rows:
+            if j < i and sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    rows = {i: t for i, t in rows.items() if root(i) == i}
+    stage = docs
+    for name, step in corpus_pipeline.STAGES[:3]:
+        stage = step(spark, stage, FOLDER)
+        assert stage.columns == docs.columns, name
+    got = {r["doc_id"]: r["text"] for r in stage.collect()}
+    assert got == rows
+    assert all(r["n_chars"] == len(r["text"]) for r in stage.collect())
+    clean = corpus_pipeline.decontamination(spark, stage, FOLDER)
+    pieces = corpus_pipeline.run(spark, FOLDER)
+    assert {r["doc_id"] for r in pieces.collect()} == {r["doc_id"] for r in clean.collect()}
