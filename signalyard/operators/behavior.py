@@ -60,8 +60,9 @@ def funnel(
 ) -> DataFrame:
     """Users per step, share of step 1, share of the step before, and the median seconds from step 1.
 
-    The median is the value at 0-based rank n/2, as in ``latency_summary``.
+    The median is the value at 0-based rank n/2, as in ``latency_summary``. Per tenant, where there is one.
     """
+    scope = with_tenant(events)
     users = funnel_users(events, steps, within, user, name)
     reached = [
         F.when(
@@ -74,17 +75,18 @@ def funnel(
         )
         for i in range(1, len(steps) + 1)
     ]
-    long = users.select(F.explode(F.array_compact(F.array(*reached))).alias("s")).select("s.*")
-    table = latency_summary(long, "seconds", ["step", "event_name"])
+    long = users.select(*scope, F.explode(F.array_compact(F.array(*reached))).alias("s")).select(*scope, "s.*")
+    table = latency_summary(long, "seconds", [*scope, "step", "event_name"])
     # One row per step from here on.
     by_step = F.map_from_entries(F.collect_list(F.struct("step", "n"))).alias("_by_step")
-    rows = table.groupBy().agg(by_step, F.collect_list(F.struct("step", "event_name", "n", "p50")).alias("_rows"))
-    flat = rows.select("_by_step", F.explode("_rows").alias("r")).select("_by_step", "r.*")
+    rows = table.groupBy(*scope).agg(by_step, F.collect_list(F.struct("step", "event_name", "n", "p50")).alias("_rows"))
+    flat = rows.select(*scope, "_by_step", F.explode("_rows").alias("r")).select(*scope, "_by_step", "r.*")
 
     def share(of: Column) -> Column:
         return F.col("n") / F.try_element_at("_by_step", of)
 
     return flat.select(
+        *scope,
         "step",
         "event_name",
         F.col("n").alias("users"),
@@ -139,9 +141,10 @@ def retention(
 
 
 def retention_table(retained: DataFrame, periods: Sequence[int]) -> DataFrame:
-    """Cohorts as rows, periods as columns ``p0``, ``p1``, ... with the share that came back."""
-    wide = retained.groupBy("cohort", "cohort_size").pivot("n", list(periods)).agg(F.max("share"))
-    return wide.select("cohort", "cohort_size", *[F.col(str(p)).alias(f"p{p}") for p in periods])
+    """Cohorts (per tenant) as rows, periods as columns ``p0``, ``p1``, ... with the share that came back."""
+    cohort = with_tenant(retained, "cohort", "cohort_size")
+    wide = retained.groupBy(*cohort).pivot("n", list(periods)).agg(F.max("share"))
+    return wide.select(*cohort, *[F.col(str(p)).alias(f"p{p}") for p in periods])
 
 
 def time_between(

@@ -136,7 +136,7 @@ def logs_near_event(
 
     Adds ``n_logs``, ``n_errors`` and ``worst_level``. The counts are differences of running counts per
     level at the two ends of the interval, so the work is linear in events and logs: matching pairs are
-    never written out. ``events`` needs a unique ``seq``.
+    never written out. ``events`` needs a ``seq`` that is unique within its tenant.
     """
     keys = with_tenant(events, *on)
     levels = list(ENUMS["level"])
@@ -160,16 +160,18 @@ def logs_near_event(
         .filter(F.col("_sign").isNotNull())
         .frame()
     )
-    per_event = counted.groupBy(F.col("_seq").alias("seq")).agg(
+    row = with_tenant(events, "seq")  # ``seq`` is unique within a tenant only
+    own = [F.col("_seq").alias("seq") if c == "seq" else F.col(c) for c in row]
+    per_event = counted.groupBy(*own).agg(
         *[F.sum(F.col("_sign") * F.col(f"_c{n}")).alias(f"_n{n}") for n in levels]
     )
     total = sum((F.col(f"_n{n}") for n in levels[1:]), F.col("_n0"))
     errors = sum((F.col(f"_n{n}") for n in levels[1 : ERROR_LEVEL + 1]), F.col("_n0"))
     worst = F.coalesce(*[F.when(F.col(f"_n{n}") > 0, F.lit(n)) for n in levels])
     summary = per_event.select(
-        "seq", total.alias("n_logs"), errors.alias("n_errors"), worst.cast("int").alias("worst_level")
+        *row, total.alias("n_logs"), errors.alias("n_errors"), worst.cast("int").alias("worst_level")
     )
-    joined = events.join(summary, ["seq"], "left")
+    joined = events.join(summary, row, "left")
     return joined.select(
         *events.columns,
         F.coalesce("n_logs", F.lit(0)).alias("n_logs"),
@@ -245,9 +247,9 @@ def metrics_align(
 ) -> DataFrame:
     """Samples of ``a`` with the sample of ``b`` nearest in time, within ``tolerance``.
 
-    Adds ``other_ts`` and ``other_value``. The earlier sample wins a tie.
+    Adds ``other_ts`` and ``other_value``. The earlier sample wins a tie. Samples of different tenants never meet.
     """
-    keys = list(on)
+    keys = with_tenant(a, *on)
     order = row_order(a)
     other = b.select(*keys, *row_order(b), F.struct(F.col("ts"), F.col(value).alias("value")).alias("_pick"))
     back = asof_backward(a, other.withColumnRenamed("_pick", "_before"), keys, ["_before"], order)

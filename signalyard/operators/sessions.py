@@ -125,7 +125,8 @@ def paths(
     """How often each opening sequence of up to ``depth`` events occurs, most frequent first.
 
     Only the first ``depth`` rows per session survive the map side (Spark limits each group before the
-    shuffle), so a session of any length costs ``depth`` rows. ``k`` keeps the k most frequent.
+    shuffle), so a session of any length costs ``depth`` rows. Paths are counted per tenant, where there is one;
+    ``k`` keeps the k most frequent of all.
     """
     from signalyard.operators.ordering import first_n
 
@@ -133,7 +134,8 @@ def paths(
     opening = first_n(events, keys, depth, row_order(events))
     steps = F.array_sort(F.collect_list(F.struct("_rn", name)))
     per_session = opening.groupBy(*keys).agg(F.transform(steps, lambda s: s[name]).alias("path"))
-    counted = per_session.groupBy("path").agg(F.count("*").alias("n"))
+    scope = with_tenant(events)
+    counted = per_session.groupBy(*scope, "path").agg(F.count("*").alias("n"))
     if k is None:
         return counted
-    return counted.orderBy(F.desc("n"), "path").limit(k)
+    return counted.orderBy(F.desc("n"), *scope, "path").limit(k)

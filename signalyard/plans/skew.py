@@ -1,8 +1,8 @@
 """Finding keys that are too big for one task, and joining around them.
 
-A hot key is one with more rows than an average shuffle partition and more than a floor. At most
-``spark.sql.shuffle.partitions`` keys can exceed that average, so a list of hot keys is always
-small enough to collect and to broadcast; that bound is what every broadcast here rests on.
+A hot key is one with more rows, or more bytes of text, than a task should take: a fixed target that depends
+neither on the size of the table nor on the number of partitions, and never on an estimate. Rows are counted once, combined
+on the map side. At most ``_COLLECTED`` hot keys are collected and broadcast; a longer list is written down and joined.
 """
 
 from __future__ import annotations
@@ -10,17 +10,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows one task handles comfortably; no key below this is ever called hot.
-HOT_ROWS_CONF = "signalyard.hotKeyRows"
-HOT_ROWS_DEFAULT = 5_000_000
-# Inputs the optimizer estimates below this fit one task whole: no counting job for them.
-SMALL_INPUT_CONF = "signalyard.smallInputBytes"
-SMALL_INPUT_DEFAULT = 64 * 1024 * 1024
+from signalyard.session import durable
+
+# What one task handles comfortably; no key below both is ever called hot.
+HOT_ROWS_CONF, HOT_ROWS_DEFAULT = "signalyard.hotKeyRows", 2_000_000
+HOT_BYTES_CONF, HOT_BYTES_DEFAULT = "signalyard.hotKeyBytes", 512 * 1024 * 1024
+# Hot keys that may travel through the driver; more of them stay in a table.
+_COLLECTED = 10_000
 
 
 @dataclass(frozen=True)
@@ -31,6 +32,7 @@ class HotKeys:
     table: DataFrame
     rows: int
     pieces: int
+    small: bool = True  # short enough to broadcast
 
 
 def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -38,44 +40,33 @@ def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys], F.lit(True))
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of the plan (never runs a job); unknown counts as large."""
-    if not hasattr(df, "_jdf"):
-        return 1 << 62
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes())
-
-
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys | None:
-    """Keys of ``df`` that must be split, or None when an ordinary shuffle is fine.
-
-    Costs nothing for small inputs and one counting job (map-side combined) for others.
-    """
+    """Keys of ``df`` that must be split, or None when an ordinary shuffle is fine: one counting job."""
     spark = df.sparkSession
-    small = int(spark.conf.get(SMALL_INPUT_CONF, str(SMALL_INPUT_DEFAULT)))
-    if estimated_bytes(df) < small:
-        return None
-    floor = int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    total, largest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
-    limit = max(floor, ceil((total or 0) / partitions))
-    if not total or largest <= limit:
+    most_rows = int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
+    most_bytes = int(spark.conf.get(HOT_BYTES_CONF, str(HOT_BYTES_DEFAULT)))
+    long = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in long), F.lit(0)).cast("bigint")
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"), F.sum(size).alias("_bytes"))
+    pieces = F.greatest(F.ceil(F.col("_rows") / most_rows), F.ceil(F.col("_bytes") / most_bytes)).cast("bigint")
+    big = counts.filter((F.col("_rows") > most_rows) | (F.col("_bytes") > most_bytes)).withColumn("_pieces", pieces)
+    found = big.limit(_COLLECTED + 1).collect()
+    if not found:
         return None
-
-    found = counts.filter(F.col("_rows") > limit).collect()  # at most `partitions` rows
-    table = spark.createDataFrame(found, counts.schema)
-    rows = sum(r["_rows"] for r in found)
-    pieces = len(found) + ceil(rows / limit)
-    return HotKeys(tuple(keys), table.drop("_rows"), rows, pieces)
+    if len(found) <= _COLLECTED:
+        table = spark.createDataFrame(found, big.schema)
+        rows, n = sum(r["_rows"] for r in found), sum(r["_pieces"] for r in found)
+    else:
+        table = durable(big)
+        rows, n = table.agg(F.sum("_rows"), F.sum("_pieces")).first()
+    return HotKeys(tuple(keys), table.select(*keys), rows, len(found) + n, len(found) <= _COLLECTED)
 
 
 def split(df: DataFrame, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys); both are map-side filters."""
     if not hot.keys:  # the whole table is one group
         return df.filter(F.lit(False)), df
-    small = F.broadcast(hot.table)
+    small = F.broadcast(hot.table) if hot.small else hot.table
     on = same_key(df, hot.table, hot.keys)
     return df.join(small, on, "left_anti"), df.join(small, on, "left_semi")
 
@@ -94,4 +85,4 @@ def lookup(
         return df.join(table, keys, how)
     cold_rows, hot_rows = split(df, hot)
     _, hot_table = split(table, hot)
-    return cold_rows.join(table, keys, how).unionByName(hot_rows.join(F.broadcast(hot_table), keys, how))
+    return cold_rows.join(table, keys, how).unionByName(hot_rows.join(F.broadcast(hot_table) if hot.small else hot_table, keys, how))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -81,6 +81,13 @@ def late_split(df: DataFrame, path: str, checkpoint: str, delay: str, trigger: s
     return _run(df, step, checkpoint, trigger)
 
 
+def _without_tenant(batches: DataFrame) -> Column:
+    """The signals of an envelope without the tenant's key: it is a credential and stays out of side tables."""
+    if "tenant" not in batches.schema["data"].dataType.elementType.fieldNames():
+        return F.col("data")
+    return F.transform("data", lambda signal: signal.dropFields("tenant"))
+
+
 def route_stream(batches: DataFrame, path: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
     """Envelopes to ``path/event``, ``path/log``, ``path/metric``, and bad rows to ``path/quarantine``.
 
@@ -106,7 +113,7 @@ def route_stream(batches: DataFrame, path: str, checkpoint: str, trigger: str |
                     F.coalesce("schema_type", F.lit("unknown")).alias("kind"),
                     F.lit("schemaType").alias("field"),
                     F.lit("is unknown").alias("reason"),
-                    F.to_json(F.struct("batch_id", "data")).alias("row"),
+                    F.to_json(F.struct("batch_id", _without_tenant(unknown).alias("data"))).alias("row"),
                 )
             )
             side = rejected[0]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from signalyard.functions.payload import merged_map, props_of
 from signalyard.operators.delivery import row_digest
 from signalyard.operators.keys import row_order, with_tenant
+from signalyard.plans.trailing import width_us
 from signalyard.schemas import ERROR_LEVEL
 
 
@@ -54,10 +55,12 @@ def sliding(
 def session_stream(
     df: DataFrame, gap: str = "30 minutes", delay: str = "10 minutes", user: str = "user_id"
 ) -> DataFrame:
-    """Sessions by silence, the stream form of ``gap_sessions``."""
+    """Sessions by silence, the stream form of ``gap_sessions``: a silence of exactly ``gap`` ends a session."""
+    # A session window reaches to the end of its gap and joins what begins there; one microsecond less does not.
+    silence = f"{width_us(gap) - 1} microseconds"
     grouped = (
         _marked(df, delay)
-        .groupBy(*with_tenant(df, user), F.session_window("ts", gap).alias("_w"))
+        .groupBy(*with_tenant(df, user), F.session_window("ts", silence).alias("_w"))
         .agg(F.min("ts").alias("session_start"), F.max("ts").alias("session_end"), F.count("*").alias("n_events"))
     )
     return grouped.drop("_w")

@@ -25,13 +25,11 @@ def spark():
 @contextmanager
 def _forced(session, rows: int, partitions: int):
     was = session.conf.get("spark.sql.shuffle.partitions")
-    session.conf.set(skew.SMALL_INPUT_CONF, "0")
     session.conf.set(skew.HOT_ROWS_CONF, str(rows))
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     try:
         yield
     finally:
-        session.conf.unset(skew.SMALL_INPUT_CONF)
         session.conf.unset(skew.HOT_ROWS_CONF)
         session.conf.set("spark.sql.shuffle.partitions", was)
 

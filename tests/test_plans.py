@@ -26,6 +26,7 @@ from signalyard.plans import (
     suffix_min,
     suffix_sum,
 )
+from signalyard.plans import skew
 from signalyard.plans.trailing import trailing_range, trailing_rows, width_us
 
 T0 = dt.datetime(2024, 1, 1)
@@ -61,10 +62,32 @@ SCANS = {
 }
 
 
-def test_small_inputs_are_not_counted(skewed):
+def test_keys_that_fit_a_task_are_not_hot(skewed):
     assert hot_keys(skewed, ["k"]) is None
 
 
+def test_one_large_key_in_a_tiny_file_is_split_by_default(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5_000_000).select(F.lit("u").alias("k"), F.timestamp_seconds(F.col("id") / 1000).alias("ts"), "id").withColumn(
+        "ts", F.date_trunc("day", "ts")
+    ).drop("id").repartition(1).write.parquet(path)
+    assert sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet")) < 1 << 20
+    rows = spark.read.parquet(path).withColumn("seq", F.monotonically_increasing_id())
+    done = Ordered.of(rows, ["k"], ["ts", "seq"])
+    assert done.hot is not None and done.hot.select("_chunk").distinct().count() >= 2
+    last = done.scan(n=running_sum(F.lit(1))).frame().agg(F.max("n"), F.count("*")).first()
+    assert tuple(last) == (5_000_000, 5_000_000)
+
+
+def test_few_rows_of_many_bytes_are_hot(spark):
+    wide = spark.range(40).select(F.lit("k").alias("k"), F.repeat(F.lit("x"), 1000).alias("payload"))
+    spark.conf.set(skew.HOT_BYTES_CONF, "10000")
+    try:
+        assert hot_keys(wide, ["k"]).pieces >= 4
+    finally:
+        spark.conf.unset(skew.HOT_BYTES_CONF)
+
+
 def test_hot_keys_are_found_and_bounded(skewed, forced_split):
     with forced_split(rows=100, partitions=4):
         hot = hot_keys(skewed, ["k"])

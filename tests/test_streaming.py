@@ -13,6 +13,8 @@ from signalyard import operators as op
 from signalyard.sources import quarantine, read_signals, stream_signals, stream_to_sink, write_signals
 from signalyard.sources.files import MALFORMED
 from signalyard.streaming import (
+    route_stream,
+    session_stream,
     IntakeListener,
     bounded_intake,
     counter_stream,
@@ -204,3 +206,25 @@ def test_shared_folder(spark):
     from signalyard.session import shared_dir
 
     assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_no_side_table_holds_the_tenant_key(feed, spark, tmp_path):
+    import base64
+
+    item = "tenant binary, service string, event_type string, event_name string, ts timestamp, device_id binary, session_id binary, payload string"
+    ddl = f"tenant binary, schema_type string, version short, batch_id long, data array<struct<{', '.join(': '.join(f.split(' ')) for f in item.split(', '))}>>"
+    key = bytes(range(16))
+    row = (key, "svc", "track", "E", T0, key, key, "{}")
+    batches = spark.createDataFrame([(key, "hologram", 1, 7, [row])], ddl)
+    query = route_stream(feed(batches), str(tmp_path / "out"), str(tmp_path / "ck"))
+    query.awaitTermination(60)
+    side = spark.read.parquet(str(tmp_path / "out/quarantine")).collect()
+    assert [(r["kind"], r["reason"]) for r in side] == [("hologram", "is unknown")]
+    assert '"tenant"' not in side[0]["row"] and "svc" in side[0]["row"] and base64.b64encode(key).decode() not in side[0]["row"].split("device_id")[0]
+
+
+def test_a_silence_of_exactly_the_gap_ends_a_session(spark):
+    rows = [("u", at(0)), ("u", at(1800)), ("u", at(3599.9))]
+    df = spark.createDataFrame(rows, "user_id string, ts timestamp")
+    got = sorted((r["session_start"], r["n_events"]) for r in session_stream(df, "30 minutes").collect())
+    assert got == [(at(0), 1), (at(1800), 2)]

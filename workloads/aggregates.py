@@ -46,15 +46,15 @@ def _(t):
 
 @query(
     "active_ratio",
-    """, ud AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM fx_track WHERE value > 20),
+    """, ud AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM fx_track),
        dau AS (SELECT day, COUNT(*) AS dau FROM ud GROUP BY 1)
        SELECT strftime(d.day, '%Y-%m-%d') AS day, d.dau, COUNT(DISTINCT u.user_id) AS mau,
          round(d.dau / COUNT(DISTINCT u.user_id), 6) AS ratio
-       FROM dau d JOIN ud u ON u.day <= d.day AND u.day > d.day - 7 GROUP BY d.day, d.dau""",
+       FROM dau d JOIN ud u ON u.day <= d.day AND u.day > d.day - 30 GROUP BY d.day, d.dau""",
     "fx_track",
 )
 def _(t):
-    ratio = op.active_ratio(t.view("fx_track").filter("value > 20"), days=7)
+    ratio = op.active_ratio(t.view("fx_track"), days=30)
     return ratio.select(day_text("day").alias("day"), big("dau").alias("dau"), big("mau").alias("mau"), num("ratio").alias("ratio"))
 
 

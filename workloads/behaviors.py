@@ -293,13 +293,13 @@ def _(t):
     return rows.select("kind", "seq", us("ts").alias("us"), "event_name", "level", "value")
 
 
-_EARLY = "SELECT user_id FROM fx_track WHERE ts < TIMESTAMP '2024-01-05' AND value > 60"
-_LATE = "SELECT user_id FROM fx_track WHERE ts >= TIMESTAMP '2024-01-25' AND value > 60"
+_EARLY = "SELECT user_id FROM fx_track WHERE ts < TIMESTAMP '2024-01-02'"
+_LATE = "SELECT user_id FROM fx_track WHERE ts >= TIMESTAMP '2024-01-30'"
 
 
 def _periods(t):
-    rows = t.view("fx_track").filter("value > 60")
-    return rows.filter("ts < '2024-01-05'"), rows.filter("ts >= '2024-01-25'")
+    rows = t.view("fx_track")
+    return rows.filter("ts < '2024-01-02'"), rows.filter("ts >= '2024-01-30'")
 
 
 @query("users_in_both", f"{_EARLY} INTERSECT {_LATE}", "fx_track")

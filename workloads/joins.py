@@ -171,34 +171,34 @@ def _(t):
 
 @query(
     "users_without",
-    """SELECT DISTINCT user_id FROM fx_track WHERE value > 95 AND user_id NOT IN
+    """SELECT DISTINCT user_id FROM fx_track WHERE user_id NOT IN
        (SELECT user_id FROM fx_identify WHERE plan = 'pro' AND k > 70)""",
     "fx_track fx_identify",
 )
 def _(t):
     pro = t.view("fx_identify").filter("plan = 'pro' AND k > 70")
-    return op.users_without(t.view("fx_track").filter("value > 95"), pro)
+    return op.users_without(t.view("fx_track"), pro)
 
 
 @query(
     "users_with",
     "SELECT DISTINCT user_id FROM fx_identify WHERE user_id IN"
-    " (SELECT user_id FROM fx_track WHERE event_name = 'Order Completed' AND value > 40)",
+    " (SELECT user_id FROM fx_track WHERE event_name = 'Order Completed')",
     "fx_track fx_identify",
 )
 def _(t):
     population = t.view("fx_identify").select("user_id").distinct()
-    return op.users_with(t.view("fx_track").filter("value > 40"), ["Order Completed"], population=population)
+    return op.users_with(t.view("fx_track"), ["Order Completed"], population=population)
 
 
 @query(
     "orphan_aliases",
     """SELECT previous_id, user_id FROM fx_alias WHERE previous_id NOT IN
-       (SELECT user_id FROM fx_track WHERE value > 60 AND event_name = 'Order Completed')""",
+       (SELECT user_id FROM fx_track WHERE ts < TIMESTAMP '2024-01-02' AND event_name = 'Order Completed')""",
     "fx_track fx_alias",
 )
 def _(t):
-    seen = t.view("fx_track").filter("value > 60 AND event_name = 'Order Completed'")
+    seen = t.view("fx_track").filter("ts < '2024-01-02' AND event_name = 'Order Completed'")
     return op.orphan_aliases(t.view("fx_alias"), seen)
 
 
