@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from signalyard.operators.keys import with_tenant
@@ -15,34 +15,29 @@ def _large_star(links: DataFrame, scope: list[str]) -> DataFrame:
     both = links.select(*scope, "a", "b").unionByName(links.select(*scope, F.col("b").alias("a"), F.col("a").alias("b")))
     smallest = both.groupBy(*scope, "a").agg(F.least("a", F.min("b")).alias("m"))
     larger = both.filter("b > a")
-    return lookup(larger, smallest, [*scope, "a"], "inner").select(
-        *scope, F.col("b").alias("a"), F.col("m").alias("b")
-    )
+    # A hub's links are many rows against one: Spark splits them as a skewed join.
+    return larger.join(smallest, [*scope, "a"]).select(*scope, F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(links: DataFrame, scope: list[str]) -> DataFrame:
     """Hang a node and all its smaller neighbours on the smallest of them."""
     smallest = links.groupBy(*scope, "a").agg(F.min("b").alias("m"))
-    moved = lookup(links, smallest, [*scope, "a"], "inner").filter("b <> m").select(
+    moved = links.join(smallest, [*scope, "a"]).filter("b <> m").select(
         *scope, F.col("b").alias("a"), F.col("m").alias("b")
     )
     own = smallest.select(*scope, "a", F.col("m").alias("b"))
     return moved.unionByName(own).distinct()
 
 
-def _is_forest_of_stars(links: DataFrame, scope: list[str]) -> bool:
-    """Every node hangs on exactly one other, which hangs on nothing."""
-    ends = links.select(
-        *scope,
-        F.explode(
-            F.array(
-                F.struct(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")),
-                F.struct(F.col("b").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")),
-            )
-        ).alias("e"),
+def _written(links: DataFrame, scope: list[str]) -> tuple[DataFrame, tuple]:
+    """The links as a table, and their number and checksums, taken while they are written."""
+    seen = Observation()
+    hashes = [F.xxhash64(F.lit(salt), *scope, "a", "b").cast("decimal(38,0)") for salt in (1, 2)]
+    counted = links.observe(
+        seen, F.count("*").alias("n"), F.sum(hashes[0]).alias("first"), F.sum(hashes[1]).alias("second")
     )
-    nodes = ends.groupBy(*scope, "e.node").agg(F.sum("e.hangs").alias("hangs"), F.max("e.holds").alias("holds"))
-    return nodes.filter("hangs > 1 OR (hangs = 1 AND holds = 1)").isEmpty()
+    table = durable(counted)
+    return table, (seen.get["n"], seen.get["first"], seen.get["second"])
 
 
 def resolve_identities(aliases: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -50,8 +45,8 @@ def resolve_identities(aliases: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternates the large-star and small-star steps of Kiveris et al. (2014), which handle long chains
     in few rounds and hubs without a quadratic step: every round emits at most one row per link. Links
-    in both directions, repeated links and self-links are harmless. Each round is written to the shared
-    folder. (Batch only.)
+    in both directions, repeated links and self-links are harmless. Each round is one job, which writes its links to the
+    shared folder and counts them on the way; a round that changes nothing is the last. (Batch only.)
     """
     scope = with_tenant(aliases)
     pair = aliases.select(
@@ -61,13 +56,14 @@ def resolve_identities(aliases: DataFrame, max_rounds: int = 60) -> DataFrame:
         "previous_id",
         "user_id",
     ).filter("previous_id IS NOT NULL AND user_id IS NOT NULL")
-    links = durable(pair.filter("a <> b").select(*scope, "a", "b").distinct())
-    rounds = 0
-    while not _is_forest_of_stars(links, scope):
+    links, seen = _written(pair.filter("a <> b").select(*scope, "a", "b").distinct(), scope)
+    before, rounds = None, 0
+    while seen != before and seen[0]:
         rounds += 1
         if rounds > max_rounds:
             raise RuntimeError(f"alias links did not settle in {max_rounds} rounds")
-        links = durable(_small_star(_large_star(links, scope), scope))
+        before = seen
+        links, seen = _written(_small_star(_large_star(links, scope), scope), scope)
 
     moved = links.select(*scope, F.col("a").alias("user_id"), F.col("b").alias("canonical_id"))
     roots = links.select(*scope, F.col("b").alias("user_id"), F.col("b").alias("canonical_id"))

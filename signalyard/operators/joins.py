@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from signalyard.functions.payload import as_props, merged_map
 from signalyard.functions.scalars import epoch_us
 from signalyard.operators.keys import row_order, with_tenant
-from signalyard.plans import Ordered, asof_backward, asof_forward, last_seen, lookup, running_sum
+from signalyard.plans import Ordered, asof_backward, asof_forward, lookup, next_row, running_sum, suffix_sum
 from signalyard.schemas import ENUMS, ERROR_LEVEL
+from signalyard.session import durable
+
+# Moments that share one copy of the properties in force.
+_MOMENTS = 1024
 
 
 def asof_profile(
@@ -43,27 +47,55 @@ def super_property_states(
 
     ``changes`` has (client, ts, seq, op, key, value): ``register`` sets a key to ``value`` (a JSON
     value), ``unregister`` removes it. ``moments`` has (client, ts, seq), by default those of the
-    changes; a change at a moment's own (ts, seq) counts.
+    changes; a change at a moment's own (ts, seq) counts. The work is linear in changes, moments and entries
+    of the maps: a key that is no longer registered costs nothing at later moments.
     """
     scope = with_tenant(changes, client)
     order = row_order(changes)
-    keys = changes.select(*scope, "key").distinct()
-    wanted = (changes if moments is None else moments).select(*scope, *order).distinct()
-    # One question per moment and key of its client: the size of the maps that come out.
-    questions = wanted.join(keys, scope).select(*scope, "key", *order, F.lit(1).alias("_rank"))
-    facts = changes.select(*scope, "key", *order, F.lit(0).alias("_rank"), F.struct("op", "value").alias("_set"))
-    held = (
-        Ordered.of(facts.unionByName(questions, allowMissingColumns=True), [*scope, "key"], [*order, "_rank"])
-        .scan(_held=last_seen("_set"))
-        .filter(F.col("_rank") == 1)
+    marks = (changes if moments is None else moments).select(*scope, *order).distinct()
+    # Moments are numbered per client; a change knows how many of them come before and after it.
+    line = changes.select(*scope, *order, F.lit(0).alias("_rank"), F.struct("key", "op", "value").alias("_set")).unionByName(
+        marks.select(*scope, *order, F.lit(1).alias("_rank")), allowMissingColumns=True
+    )
+    numbered = durable(
+        Ordered.of(line, scope, [*order, "_rank"])
+        .scan(_upto=running_sum("_rank"), _from=suffix_sum("_rank"))
+        .frame()
+    )
+    changed = numbered.filter("_rank = 0").select(*scope, "_set.*", *order, "_upto", "_from")
+    # A value is live for the moments up to its key's next change; removed keys have no moments.
+    lives = (
+        Ordered.of(changed, [*scope, "key"], order)
+        .scan(_next=next_row("_upto"))
         .frame()
+        .select(
+            *scope,
+            (F.col("_upto") + 1).alias("_first"),
+            F.coalesce("_next", F.col("_upto") + F.col("_from")).alias("_last"),
+            F.when(F.col("op") == "register", F.struct("key", "value")).alias("_held"),
+        )
+        .filter("_held IS NOT NULL AND _first <= _last")
+    )
+    points = numbered.filter("_rank = 1").select(
+        *scope, F.col("_upto").alias("_first"), F.col("_upto").alias("_last"), F.struct(*order).alias("_moment")
+    )
+    # Lives travel once per block of moments and are laid out in the task that collects them: as many rows as
+    # there are entries in the maps that come out.
+    blocks = lives.unionByName(points, allowMissingColumns=True).withColumn(
+        "_block", F.explode(F.sequence(F.expr(f"_first DIV {_MOMENTS}"), F.expr(f"_last DIV {_MOMENTS}")))
+    )
+    begin = F.greatest("_first", F.col("_block") * _MOMENTS)
+    end = F.least("_last", (F.col("_block") + 1) * _MOMENTS - 1)
+    states = (
+        blocks.repartition(*scope, "_block")
+        .withColumn("_i", F.explode(F.sequence(begin, end)))
+        .groupBy(*scope, "_block", "_i")
+        .agg(F.collect_list("_held").alias("_live"), F.max("_moment").alias("_moment"))
     )
-    live = F.when(F.col("_held.op") == "register", F.struct("key", F.col("_held.value").alias("value")))
-    states = held.groupBy(*scope, *order).agg(F.collect_list(live).alias("_live"))
     props = F.map_from_entries(
         F.transform("_live", lambda e: F.struct(e["key"], F.parse_json(F.coalesce(e["value"], F.lit("null")))))
     )
-    return states.select(*scope, *order, props.alias("super_props"))
+    return states.select(*scope, "_moment.*", props.alias("super_props"))
 
 
 def asof_super_props(
@@ -183,14 +215,17 @@ def logs_near_event(
 def net_revenue(orders: DataFrame, refunds: DataFrame) -> DataFrame:
     """Per order: gross amount, refunded or canceled amount, and what is left.
 
-    Both sides are summed per order first, so repeated rows of one order never multiply.
+    Delivery is at least once, so repeats count once: of several rows of one order the earliest stands, whole, and
+    refunds equal in every column but ``seq`` are one refund. Refunds that may be alike need a column that tells them apart.
     """
     keys = with_tenant(orders, "order_id")
     carried = [c for c in orders.columns if c not in (*keys, "amount", "seq")]
-    gross = orders.groupBy(*keys).agg(
-        F.sum("amount").alias("gross"), *[F.min(c).alias(c) for c in carried]
+    earliest = F.min(F.struct(*row_order(orders), "amount", *[c for c in carried if c != "ts"])).alias("_first")
+    gross = orders.groupBy(*keys).agg(earliest).select(
+        *keys, F.col("_first.amount").alias("gross"), *[F.col("_first")[c].alias(c) for c in carried]
     )
-    back = refunds.groupBy(*keys).agg(F.sum("amount").alias("refunded"))
+    once = refunds.dropDuplicates([c for c in refunds.columns if c != "seq"])
+    back = once.groupBy(*keys).agg(F.sum("amount").alias("refunded"))
     refunded = F.coalesce("refunded", F.lit(0.0))
     return gross.join(back, keys, "left").select(
         *keys, *carried, "gross", refunded.alias("refunded"), (F.col("gross") - refunded).alias("net")

@@ -138,13 +138,20 @@ def _(t):
     return near.select("seq", "n_logs", "n_errors", "worst_level")
 
 
-@query(
-    "net_revenue",
-    """, back AS (SELECT order_id, sum(amount) AS refunded FROM fx_refund GROUP BY 1)
+NET_REVENUE_SQL = """, back AS (SELECT order_id, sum(amount) AS refunded FROM fx_refund GROUP BY 1)
        SELECT order_id, round(amount, 3) AS gross, round(COALESCE(refunded, 0), 3) AS refunded,
-         round(amount - COALESCE(refunded, 0), 3) AS net FROM fx_revenue LEFT JOIN back USING (order_id)""",
-    "fx_revenue fx_refund",
-)
+         round(amount - COALESCE(refunded, 0), 3) AS net FROM fx_revenue LEFT JOIN back USING (order_id)"""
+
+
+@query("net_revenue_redelivered", NET_REVENUE_SQL, "fx_revenue fx_refund")
+def _(t):
+    orders, refunds = t.view("fx_revenue"), t.view("fx_refund")
+    again = orders.filter("k % 3 = 0").withColumn("ts", F.expr("ts + INTERVAL 2 DAYS"))
+    net = op.net_revenue(orders.unionByName(again).unionByName(again), refunds.unionByName(refunds))
+    return net.select("order_id", num("gross", 3).alias("gross"), num("refunded", 3).alias("refunded"), num("net", 3).alias("net"))
+
+
+@query("net_revenue", NET_REVENUE_SQL, "fx_revenue fx_refund")
 def _(t):
     orders = t.view("fx_revenue").select("order_id", "amount")
     net = op.net_revenue(orders, t.view("fx_refund").select("order_id", "amount"))
@@ -161,7 +168,7 @@ def _(t):
 )
 def _(t):
     orders = t.base("orders").selectExpr("o_orderkey AS order_id", "o_totalprice AS amount", "o_orderstatus AS status")
-    back = t.base("lineitem").filter("l_returnflag = 'R'").selectExpr("l_orderkey AS order_id", "l_extendedprice AS amount")
+    back = t.base("lineitem").filter("l_returnflag = 'R'").selectExpr("l_orderkey AS order_id", "l_linenumber AS line", "l_extendedprice AS amount")
     return op.net_revenue(orders, back).groupBy("status").agg(
         F.count("*").alias("orders"),
         num(F.sum("gross"), 2).alias("gross"),
