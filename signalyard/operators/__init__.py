@@ -19,6 +19,7 @@ from signalyard.operators.delivery import (
     retain_newest_bytes,
     route_by_schema,
     unpack_batches,
+    with_row_id,
 )
 from signalyard.operators.events import (
     active_ratio,
@@ -95,7 +96,7 @@ from signalyard.operators.profiles import (
     latest_traits,
     user_profiles,
 )
-from signalyard.operators.quality import distinct_props, prop_stats
+from signalyard.operators.quality import distinct_props, prop_stats, property_registry
 from signalyard.operators.revenue import revenue_cube, revenue_summary, running_revenue
 from signalyard.operators.sessions import (
     event_sequence,

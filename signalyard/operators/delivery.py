@@ -26,12 +26,39 @@ __all__ = [
     "route_by_schema",
     "row_digest",
     "unpack_batches",
+    "with_row_id",
 ]
 
+# The default text of a time stops at milliseconds.
+_EXACT_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+# Equal rows that are numbered from one array.
+_REPEATS = 65_536
+
 
 def row_digest(columns: Sequence[str]) -> Column:
-    """SHA-256 of the row as JSON; 64-bit hashes would collide at this scale."""
-    return F.sha2(F.to_json(F.struct(*columns)), 256)
+    """SHA-256 of the row as JSON, times to the microsecond; 64-bit hashes would collide at this scale."""
+    return F.sha2(F.to_json(F.struct(*columns), _EXACT_TIMES), 256)
+
+
+def with_row_id(df: DataFrame, out: str = "seq") -> DataFrame:
+    """Landed rows with an identity: the digest of the row and a number among equal rows, as text.
+
+    The wire carries none, and ordered operators need it to break ties the same way on every run. Equal rows are counted
+    on the map side and laid out again, so a row repeated very often is no hot key. A column called ``out`` is replaced.
+    (Batch only.)
+    """
+    columns = [c for c in df.columns if c != out]
+    counted = df.groupBy(row_digest(columns).alias("_digest")).agg(
+        F.count("*").alias("_n"), F.any_value(F.struct(*columns)).alias("_row")
+    ).select("_row.*", "_digest", "_n")
+    # Two steps keep the arrays short however often a row repeats.
+    blocks = counted.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_n - 1) DIV {_REPEATS}"))))
+    last = F.least(F.col("_n") - 1, (F.col("_block") + 1) * _REPEATS - 1)
+    laid_out = blocks.withColumn("_number", F.explode(F.sequence(F.col("_block") * _REPEATS, last)))
+    return laid_out.select(*columns, F.concat_ws("-", "_digest", F.lpad(F.col("_number").cast("string"), 12, "0")).alias(out))
 
 
 def _comparable(kind: T.DataType) -> bool:
@@ -63,7 +90,7 @@ def dedupe_batches(batches: DataFrame) -> DataFrame:
     """
     keys = with_tenant(batches, "schema_type", "batch_id")
     return (
-        batches.withColumn("_digest", F.sha2(F.to_json("data"), 256))
+        batches.withColumn("_digest", F.sha2(F.to_json("data", _EXACT_TIMES), 256))
         .dropDuplicates([*keys, "_digest"])
         .drop("_digest")
     )

@@ -88,7 +88,10 @@ def histogram_merge(
         keys.append(time_bucket("ts", window).alias("window_start"))
     h = F.col(histogram)
     rows = metrics.filter(h.isNotNull()).select(
-        *keys, h.alias("h"), _bounds(h).alias("bounds"), F.posexplode_outer(_buckets(h)).alias("pos", "b")
+        *keys,
+        *[h[c].alias(c) for c in ("count", "sum", "min", "max")],
+        F.sha2(F.to_json(_bounds(h)), 256).alias("bounds"),  # a digest: the list itself would travel once per bucket
+        F.posexplode_outer(_buckets(h)).alias("pos", "b"),
     )
     names = [*by, *(["window_start"] if window else [])]
     # Every histogram of a bound list is in each of its positions once, so the totals repeat per position.
@@ -96,10 +99,10 @@ def histogram_merge(
         F.max("b.upper_bound").alias("upper_bound"),
         F.sum("b.count").alias("bucket_count"),
         F.count("*").alias("n"),
-        F.sum("h.count").alias("count"),
-        F.sum("h.sum").alias("sum"),
-        F.min("h.min").alias("min"),
-        F.max("h.max").alias("max"),
+        F.sum("count").alias("count"),
+        F.sum("sum").alias("sum"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
     )
     # At most one row per bucket of one bound list is collected here.
     bucket = F.when(F.col("pos").isNotNull(), F.struct("pos", "upper_bound", F.col("bucket_count").alias("count")))

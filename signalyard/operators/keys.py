@@ -13,5 +13,8 @@ def with_tenant(df: DataFrame, *keys: str) -> list[str]:
 
 
 def row_order(df: DataFrame, order: Sequence[str] = ("ts", "seq")) -> list[str]:
-    """The order columns the table has; ``ts`` alone when there is no tie-break."""
+    """The order columns the table has; ``ts`` alone when there is no tie-break.
+
+    Landed rows get their tie-break from ``with_row_id``; without it, rows of one time are in no fixed order.
+    """
     return [c for c in order if c in df.columns]

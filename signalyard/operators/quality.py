@@ -45,8 +45,16 @@ def prop_stats(df: DataFrame, name: str = "event_name", payload: str = "payload"
     )
 
 
+def property_registry(df: DataFrame, name: str = "event_name", payload: str = "payload") -> DataFrame:
+    """Long schema registry: event name, key, JSON type, rows. Any number of keys per name, combined on the map side."""
+    return explode_props(df, [name], payload).groupBy(name, "key", "json_type").agg(F.count("*").alias("n"))
+
+
 def distinct_props(df: DataFrame, name: str = "event_name", payload: str = "payload") -> DataFrame:
-    """Schema registry: per event name the property names and the schema seen so far."""
+    """Per event name the property names and the schema seen so far, in one row.
+
+    For names with a sane number of keys; ``property_registry`` is the form without a bound.
+    """
     props = merged_map(props_of(payload))
     schema = F.schema_of_variant_agg(F.parse_json(F.to_json("_props")))
     keys = (

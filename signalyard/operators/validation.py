@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from signalyard.functions.payload import props_of, typed_props
 from signalyard.operators.stamping import NO_SESSION_TYPES
-from signalyard.schemas import MAX_EVENT_NAME_BYTES, MAX_LOG_MESSAGE_BYTES
+from signalyard.schemas import MAX_EVENT_NAME_BYTES, MAX_LOG_MESSAGE_BYTES, ORDER_COMPLETED
 
 ERROR_DDL = "struct<field:string,reason:string>"
 Check = tuple[str, Column, Column | str]  # field, "this row fails", reason
@@ -180,13 +180,17 @@ def validation_report(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def validate_signals(df: DataFrame, kind: str) -> DataFrame:
-    """The rules of one signal kind on landed rows, whose user, group and message sit in the payload."""
+    """The rules of one signal kind on landed rows, whose user, group and message sit in the payload.
+
+    The revenue rule applies to ``Order Completed`` rows that carry an amount, a currency or an order id: a plain
+    track call may use that name without them.
+    """
     if kind == "metric":
         return validate_metric(df)
     if kind == "log":
         parsed = df.withColumn("_p", typed_props("payload", "message string"))
         return validate_log(parsed.withColumn("_message", F.col("_p.message")), "_message").drop("_p", "_message")
-    fields = "user_id string, group_id string, previous_id string"
+    fields = "user_id string, group_id string, previous_id string, amount double, currency string, order_id string"
     parsed = df.withColumn("_p", typed_props("payload", fields))
     kind_is = F.col("event_type")
     track = kind_is == "track"
@@ -195,6 +199,9 @@ def validate_signals(df: DataFrame, kind: str) -> DataFrame:
     def missing(field: str) -> Column:
         return F.coalesce(F.col(f"_p.{field}"), F.lit("")) == ""
 
+    amount = F.col("_p.amount")
+    order_fields = F.coalesce(amount.cast("string"), "_p.currency", "_p.order_id")
+    order = track & (F.col("event_name") == ORDER_COMPLETED) & order_fields.isNotNull()
     checks: list[Check] = [
         ("previousId", (kind_is == "alias") & missing("previous_id"), "is required"),
         ("userId", kind_is.isin("track", "identify", "group", "alias") & missing("user_id"), "is required"),
@@ -210,5 +217,8 @@ def validate_signals(df: DataFrame, kind: str) -> DataFrame:
             kind_is.isin(*NO_SESSION_TYPES) & F.col("session_id").isNotNull(),
             "not allowed on identity events",
         ),
+        ("amount", order & (amount.isNull() | (amount <= 0)), "must be positive"),
+        ("currency", order & missing("currency"), "is required"),
+        ("orderId", order & missing("order_id"), "is required"),
     ]
     return with_error(parsed, checks).drop("_p")

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from signalyard.plans.ordered import Ordered, last_seen, next_seen
 
 
-def _side(df: DataFrame, keys: Sequence[str], order: Sequence[str], rank: int, name: str) -> DataFrame:
-    tie = df[order[1]].cast("bigint") if len(order) > 1 else F.lit(0).cast("bigint")
+def _side(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rank: int, name: str, tie_type: str
+) -> DataFrame:
+    tie = df[order[1]].cast(tie_type) if len(order) > 1 else F.lit(0).cast("bigint")
     return df.select(
         *[df[k] for k in keys],
         df[order[0]].alias("_at"),
@@ -25,8 +27,11 @@ def _union(
     left: DataFrame, right: DataFrame, keys: Sequence[str], order: Sequence[str], ranks: tuple[int, int]
 ) -> DataFrame:
     """Both sides in one table; at equal times the side with the smaller rank comes first."""
-    l = _side(left, keys, order, ranks[0], "_left")
-    r = _side(right, keys, order, ranks[1], "_right")
+    # Row ids of landed rows are text, sequence numbers are numbers.
+    text = len(order) > 1 and "string" in (dict(left.dtypes)[order[1]], dict(right.dtypes)[order[1]])
+    tie_type = "string" if text else "bigint"
+    l = _side(left, keys, order, ranks[0], "_left", tie_type)
+    r = _side(right, keys, order, ranks[1], "_right", tie_type)
     return l.unionByName(r, allowMissingColumns=True)
 
 

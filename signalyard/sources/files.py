@@ -33,22 +33,30 @@ def read_batches(spark: SparkSession, path: str, kind: str, fmt: str = "parquet"
     return _reader(spark.read, batch_schema(kind), fmt).load(path)
 
 
-def _stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str, max_files: int | None) -> DataFrame:
+def _stream(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str, max_files: int | None, max_bytes: int | None
+) -> DataFrame:
+    if max_files and max_bytes:
+        raise ValueError("bound the intake by files or by bytes, not by both")
     reader = _reader(spark.readStream, schema, fmt)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.load(path)
 
 
 def stream_signals(
-    spark: SparkSession, path: str, kind: str, max_files: int | None = 1000, fmt: str = "parquet"
-) -> DataFrame:
-    """The same as an unbounded table. ``max_files`` per trigger bounds the intake: nothing is dropped."""
-    return _stream(spark, path, signal_schema(kind), fmt, max_files)
+    spark: SparkSession, path: str, kind: str, max_files: int | None = 1000, fmt: str = "parquet",
+    max_bytes: int | None = None,
+) -> DataFrame:
+    """The same as an unbounded table. ``max_files`` or ``max_bytes`` per trigger bounds the intake: nothing is dropped."""
+    return _stream(spark, path, signal_schema(kind), fmt, max_files, max_bytes)
 
 
 def stream_batches(
-    spark: SparkSession, path: str, kind: str, max_files: int | None = 1000, fmt: str = "parquet"
-) -> DataFrame:
+    spark: SparkSession, path: str, kind: str, max_files: int | None = 1000, fmt: str = "parquet",
+    max_bytes: int | None = None,
+) -> DataFrame:
     """Envelopes as an unbounded table."""
-    return _stream(spark, path, batch_schema(kind), fmt, max_files)
+    return _stream(spark, path, batch_schema(kind), fmt, max_files, max_bytes)

@@ -13,11 +13,24 @@ from signalyard.sources.files import stream_signals
 from signalyard.sources.sinks import write_signals
 
 
-def bounded_intake(spark: SparkSession, path: str, kind: str, max_files: int, fmt: str = "parquet") -> DataFrame:
-    """A signal stream that takes at most ``max_files`` files per trigger: it waits instead of dropping."""
-    if max_files < 1:
-        raise ValueError("max_files must be at least 1")
-    return stream_signals(spark, path, kind, max_files, fmt)
+def bounded_intake(
+    spark: SparkSession,
+    path: str,
+    kind: str,
+    max_files: int | None = None,
+    fmt: str = "parquet",
+    max_bytes: int | None = None,
+) -> DataFrame:
+    """A signal stream that takes at most ``max_files`` files or ``max_bytes`` bytes of files per trigger.
+
+    It waits instead of dropping. Give one of the two; a file that alone is larger than ``max_bytes`` is a trigger of its own.
+    """
+    for name, bound in (("max_files", max_files), ("max_bytes", max_bytes)):
+        if bound is not None and bound < 1:
+            raise ValueError(f"{name} must be at least 1")
+    if (max_files is None) == (max_bytes is None):
+        raise ValueError("give max_files or max_bytes")
+    return stream_signals(spark, path, kind, max_files, fmt, max_bytes)
 
 
 class IntakeListener(StreamingQueryListener):
@@ -53,7 +66,8 @@ def _run(df: DataFrame, step, checkpoint: str, trigger: str | None) -> Streaming
 def late_split(df: DataFrame, path: str, checkpoint: str, delay: str, trigger: str | None = None) -> StreamingQuery:
     """On-time rows to ``path/on_time``, late rows to ``path/late``.
 
-    Late means older than the latest time seen before this micro-batch minus ``delay``. That mark is
+    Late means older than the latest time seen before this micro-batch minus ``delay``; a time in the future counts as
+    the time it arrived. That mark is
     one row per micro-batch in ``path/marks``, so a restart goes on where it stopped and a repeated
     micro-batch writes the same folders again.
     """
@@ -65,7 +79,7 @@ def late_split(df: DataFrame, path: str, checkpoint: str, delay: str, trigger: s
             seen = None
             if batch_id > 0:
                 seen = spark.read.parquet(f"{path}/marks/flush={batch_id - 1}").first()["mark"]
-            newest = rows.agg(F.max("ts").alias("mark")).first()["mark"]
+            newest = rows.agg(F.least(F.max("ts"), F.current_timestamp()).alias("mark")).first()["mark"]
             mark = max((t for t in (seen, newest) if t is not None), default=None)
             if seen is None:
                 late = F.lit(False)

@@ -86,46 +86,58 @@ def _as_json(held: dict[str, str]) -> str:
     return "{" + ",".join(f"{json.dumps(k)}:{v}" for k, v in held.items()) + "}"
 
 
-def super_props_stream(changes: DataFrame, events: DataFrame, client: str = "client_id") -> DataFrame:
+def super_props_stream(
+    changes: DataFrame, events: DataFrame, client: str = "client_id", ttl: str = "30 days"
+) -> DataFrame:
     """Events with ``super_props``, the properties registered by their client so far, as JSON.
 
     Arrival order across micro-batches, time order inside one, a change before an event of the same
     time. ``changes`` has (client, ts, seq, op, key, value), ``events`` has (client, ts, seq, row) with
-    ``row`` any JSON text; merge with ``merge_properties`` afterwards.
+    ``row`` any JSON text; merge with ``merge_properties`` afterwards. A client id lives as long as its process:
+    what it registered is let go once it is silent for ``ttl`` of event time. Rows older than the newest by more than
+    ``ttl`` are dropped by Spark.
     """
     keys = with_tenant(events, client)
     none = F.lit(None).cast("string")
     us = F.unix_micros("ts").alias("us")
     both = changes.select(
-        *keys, us, "seq", F.lit(False).alias("is_event"), "op", "key", "value", none.alias("row")
+        *keys, "ts", us, "seq", F.lit(False).alias("is_event"), "op", "key", "value", none.alias("row")
     ).unionByName(
         events.select(
-            *keys, us, "seq", F.lit(True).alias("is_event"), none.alias("op"), none.alias("key"), none.alias("value"), "row"
+            *keys, "ts", us, "seq", F.lit(True).alias("is_event"), none.alias("op"), none.alias("key"), none.alias("value"), "row"
         )
     )
+    both = both.withWatermark("ts", ttl)
     columns = [*keys, "us", "seq", "row"]
 
     def replay(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         table = _ordered(batches, ["us", "is_event", "seq"])
-        held: dict[str, str] = dict(zip(*state.get)) if state.exists else {}
-        text = _as_json(held)
-        seen: list[str] = []
-        for is_event, op, name, value in zip(table["is_event"], table["op"], table["key"], table["value"]):
-            if not is_event:
-                if op == "register":
-                    held[name] = value if isinstance(value, str) else "null"
-                else:
-                    held.pop(name, None)
-                text = _as_json(held)
-            seen.append(text)
-        state.update((list(held.keys()), list(held.values())))
-        yield table.assign(super_props=seen).loc[table["is_event"], [*columns, "super_props"]]
+        is_event = table["is_event"].to_numpy(dtype=bool)
+        names, values, newest = state.get if state.exists else ([], [], 0)
+        held: dict[str, str] = dict(zip(names, values))
+        texts = [_as_json(held)]
+        changed = table[~is_event]
+        for op, name, value in zip(changed["op"], changed["key"], changed["value"]):
+            if op == "register":
+                held[name] = value if isinstance(value, str) else "null"
+            else:
+                held.pop(name, None)
+            texts.append(_as_json(held))
+        newest = max(newest, int(table["us"].max()) // 1000)
+        state.update((list(held.keys()), list(held.values()), newest))
+        state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + 1)
+        # Each event sees the text after the changes before it.
+        seen = np.asarray(texts, dtype=object)[np.cumsum(~is_event)[is_event]]
+        yield table.loc[is_event, columns].assign(super_props=seen)
 
     found = both.groupBy(*keys).applyInPandasWithState(
         replay,
         outputStructType=f"{_fields(both.select(*columns))}, super_props string",
-        stateStructType="names array<string>, texts array<string>",
+        stateStructType="names array<string>, texts array<string>, newest bigint",
         outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout,
+        timeoutConf=GroupStateTimeout.EventTimeTimeout,
     )
     return found.select(*keys, F.timestamp_micros("us").alias("ts"), "seq", "row", "super_props")

@@ -288,3 +288,38 @@ def test_where_signal_prunes_and_pushes(spark, tmp_path):
     plan = picked.select("service")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(event_type" in plan or "PartitionFilters: [isnotnull(day" in plan
     assert "PushedFilters: [IsNotNull(event_name)" in plan or "EqualTo(event_name,E)" in plan
+
+
+def test_row_ids_are_the_same_on_every_run(table, rows_of):
+    ddl = "ts timestamp, event_name string"
+    near = dt.datetime(2024, 1, 1, 0, 0, 0, 5)  # less than a millisecond apart
+    rows = [(dt.datetime(2024, 1, 1), "a"), (near, "a"), (near, "a"), (None, None)]
+    once = op.with_row_id(table(ddl, *rows))
+    assert once.columns == ["ts", "event_name", "seq"]
+    assert rows_of(once) == rows_of(op.with_row_id(table(ddl, *reversed(rows)).repartition(3)))
+    assert rows_of(once, "ts", "event_name") == sorted(rows, key=repr)
+    assert once.select("seq").distinct().count() == 4
+
+
+def test_super_properties_cost_what_is_live(table, forced_split):
+    """A client that registers 3,000 keys one after the other, each only for a moment."""
+    from signalyard.operators.joins import super_property_states
+
+    n = 3000
+    rows = [("c", T0 + dt.timedelta(seconds=2 * i), 2 * i, "register", f"k{i}", str(i)) for i in range(n)]
+    rows += [("c", T0 + dt.timedelta(seconds=2 * i + 1), 2 * i + 1, "unregister", f"k{i}", None) for i in range(n)]
+    changes = table("client_id string, ts timestamp, seq long, op string, key string, value string", *rows)
+    states = super_property_states(changes).selectExpr("seq", "to_json(super_props) AS held").orderBy("seq").collect()
+    assert [(r["seq"], r["held"]) for r in states] == [
+        (j, f'{{"k{j // 2}":{j // 2}}}' if j % 2 == 0 else "{}") for j in range(2 * n)
+    ]
+
+
+def test_redelivered_orders_and_refunds_count_once(table, rows_of):
+    orders = table(
+        "order_id string, ts timestamp, amount double, currency string",
+        ("o", T0 + dt.timedelta(days=1), 10.0, "EUR"), ("o", T0, 10.0, "USD"), ("o", T0, 10.0, "USD"),
+    )
+    refunds = table("order_id string, ts timestamp, amount double", ("o", T0, 2.0), ("o", T0, 2.0), ("o", None, 3.0))
+    got = op.net_revenue(orders, refunds)
+    assert rows_of(got, "order_id", "currency", "gross", "refunded", "net") == [("o", "USD", 10.0, 5.0, 5.0)]

@@ -248,3 +248,19 @@ def test_validate_signals(spark):
 def test_unknown_signal_kind():
     with pytest.raises(ValueError, match="unknown signal kind"):
         signal_schema("trace")
+
+
+def test_revenue_rule_on_landed_rows(table):
+    rows = [
+        ("Order Completed", '{"user_id":"u","amount":-5,"currency":"","order_id":"o"}', ("amount", "must be positive")),
+        ("Order Completed", '{"user_id":"u","amount":5,"currency":"","order_id":"o"}', ("currency", "is required")),
+        ("Order Completed", '{"user_id":"u","amount":5,"currency":"EUR"}', ("orderId", "is required")),
+        ("Order Completed", '{"user_id":"u","currency":"EUR","order_id":"o"}', ("amount", "must be positive")),
+        ("Order Completed", '{"user_id":"u","amount":5,"currency":"EUR","order_id":"o"}', None),
+        ("Order Completed", '{"user_id":"u","step":1}', None),
+        ("Other", '{"user_id":"u","amount":-5}', None),
+    ]
+    ddl = "event_type string, session_id string, event_name string, payload string"
+    for name, payload, error in rows:
+        got = op.validate_signals(table(ddl, ("track", "s", name, payload)), "event").first()["error"]
+        assert (tuple(got) if got else None) == error

@@ -232,3 +232,32 @@ def test_a_silence_of_exactly_the_gap_ends_a_session(spark):
     df = spark.createDataFrame(rows, "user_id string, ts timestamp")
     got = sorted((r["session_start"], r["n_events"]) for r in session_stream(df, "30 minutes").collect())
     assert got == [(at(0), 1), (at(1800), 2)]
+
+
+def test_intake_is_bounded_by_bytes(spark, tmp_path, drain):
+    landed = str(tmp_path / "in")
+    _signals(spark).repartition(4).write.parquet(landed)
+    rows = drain(bounded_intake(spark, landed, "event", max_bytes=1))
+    assert rows.count() == 40 and rows.select("flush").distinct().count() == 4
+    with pytest.raises(ValueError, match="max_bytes"):
+        bounded_intake(spark, landed, "event", max_bytes=0)
+    with pytest.raises(ValueError, match="max_files or max_bytes"):
+        bounded_intake(spark, landed, "event")
+
+
+def test_properties_of_a_silent_client_expire(table, feed, drain):
+    ddl = "client_id string, ts timestamp, seq long, op string, key string, value string"
+    day = 86_400
+    none = (None, None, None)
+    both = [
+        [("c", at(0), 1, "register", "a", "1"), ("c", at(1), 2, *none)],
+        [("d", at(40 * day), 3, *none)],
+        [("d", at(41 * day), 4, *none)],
+        [("c", at(42 * day), 5, *none), ("d", at(42 * day), 6, *none)],
+    ]
+    rows = feed(*[table(ddl, *part) for part in both])
+    events = rows.filter("op IS NULL").select("client_id", "ts", "seq", F.lit("{}").alias("row"))
+    got = drain(super_props_stream(rows.filter("op IS NOT NULL"), events, ttl="10 days"))
+    assert sorted((r["seq"], r["super_props"]) for r in got.collect()) == [
+        (2, '{"a":1}'), (3, "{}"), (4, "{}"), (5, "{}"), (6, "{}"),
+    ]

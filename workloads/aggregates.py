@@ -15,6 +15,12 @@ _DAY = "strftime(ts, '%Y-%m-%d')"
 # --- events -----------------------------------------------------------------------------------------
 
 
+
+def _within(estimate: str, exact: str, share: float):
+    """Whether an estimate is close to the exact value of its group."""
+    return F.abs(F.col(estimate) - F.col(exact)) <= share * F.abs(F.col(exact))
+
+
 @query(
     "event_counts",
     f"SELECT event_name, service, {_DAY} AS day, COUNT(*) AS n FROM fx_track GROUP BY ALL",
@@ -38,10 +44,16 @@ for _period in ("day", "week", "month"):
         return counts.select("service", day_text("period").alias("period"), "active_users")
 
 
-@query("active_users_sketch")
+@query(
+    "active_users_sketch",
+    "SELECT service, COUNT(DISTINCT user_id) AS exact, true AS close FROM fx_track GROUP BY 1",
+    "fx_track",
+)
 def _(t):
     sketches = op.user_sketches(t.view("fx_track"), "day", by=["service"])
-    return op.merge_user_sketches(sketches, by=["service"])
+    exact = t.view("fx_track").groupBy("service").agg(F.count_distinct("user_id").alias("exact"))
+    both = op.merge_user_sketches(sketches, by=["service"]).join(exact, "service")
+    return both.select("service", "exact", _within("active_users", "exact", 0.05).alias("close"))
 
 
 @query(
@@ -101,9 +113,22 @@ def _(t):
     return rows.withColumn("avg", num("avg"))
 
 
-@query("latency_sketch")
+@query(
+    "latency_sketch",
+    """, r AS (SELECT event_name, value, row_number() OVER (PARTITION BY event_name ORDER BY value) - 1 AS i,
+         COUNT(*) OVER (PARTITION BY event_name) AS n FROM fx_track)
+       SELECT event_name, n, max(CASE WHEN i = n // 2 THEN value END) AS p50, max(CASE WHEN i = n * 99 // 100 THEN value END) AS p99,
+         true AS close FROM r GROUP BY event_name, n""",
+    "fx_track",
+)
 def _(t):
-    return op.latency_sketch(t.view("fx_track"), "value", ["event_name"])
+    rows = t.view("fx_track")
+    exact = op.latency_summary(rows, "value", ["event_name"]).select("event_name", "n", "p50", "p99")
+    sketch = op.latency_sketch(rows, "value", ["event_name"]).select(
+        "event_name", F.col("n").alias("_n"), F.col("p50").alias("_p50"), F.col("p99").alias("_p99")
+    )
+    close = (F.col("n") == F.col("_n")) & _within("_p50", "p50", 0.05) & _within("_p99", "p99", 0.05)
+    return exact.join(sketch, "event_name").select("event_name", "n", "p50", "p99", close.alias("close"))
 
 
 _PLAN_EVENT = (
@@ -496,9 +521,15 @@ def _(t):
     return op.series_cardinality(t.view("fx_counter"), exact=True)
 
 
-@query("series_cardinality_sketch")
+@query(
+    "series_cardinality_sketch",
+    "SELECT name, COUNT(DISTINCT source) AS exact, true AS close FROM fx_counter GROUP BY 1",
+    "fx_counter",
+)
 def _(t):
-    return op.series_cardinality(t.view("fx_counter"))
+    exact = op.series_cardinality(t.view("fx_counter"), exact=True).withColumnRenamed("n_series", "exact")
+    both = op.series_cardinality(t.view("fx_counter")).join(exact, "name")
+    return both.select("name", "exact", _within("n_series", "exact", 0.15).alias("close"))
 
 
 @query(
@@ -568,6 +599,21 @@ def _(t):
     return rows.select("event_name", F.array_join("keys", ",").alias("keys"), "schema")
 
 
+@query(
+    "property_registry",
+    """SELECT event_name, 'k' AS key, CASE WHEN k % 3 = 0 THEN 'string' WHEN k % 3 = 1 THEN 'number' ELSE 'boolean' END AS json_type,
+         COUNT(*) AS n FROM fx_track WHERE k % 5 <> 0 GROUP BY ALL
+       UNION ALL SELECT event_name, CASE WHEN k % 2 = 0 THEN 'even' ELSE 'odd' END, 'array', COUNT(*) FROM fx_track GROUP BY ALL""",
+    "fx_track",
+)
+def _(t):
+    k = F.when(F.col("k") % 3 == 0, '"x"').when(F.col("k") % 3 == 1, F.col("k").cast("string")).otherwise("true")
+    first = F.when(F.col("k") % 5 != 0, F.concat(F.lit('"k":'), k, F.lit(",")))
+    second = F.when(F.col("k") % 2 == 0, '"even":[1]}').otherwise('"odd":[]}')
+    payload = F.concat(F.lit("{"), F.coalesce(first, F.lit("")), second)
+    return op.property_registry(t.view("fx_track").select("event_name", payload.alias("payload")))
+
+
 @query(
     "prop_stats_urls",
     """, u AS (SELECT regexp_extract(url, '^https?://([^/]+)', 1) AS host, url FROM pages),

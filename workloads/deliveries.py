@@ -46,6 +46,29 @@ def _(t):
     return landed_summary(read_signals(t.spark, path, "event", "json"))
 
 
+@query(
+    "logs_near_landed_event",
+    """, e AS (SELECT *, k < 50 AS a FROM fx_track), l AS (SELECT fx_log.*, k < 50 AS a FROM fx_log JOIN fx_track USING (seq)),
+       n AS (SELECT e.seq, e.event_name, COUNT(l.seq) AS n_logs, COUNT(l.seq) FILTER (l.level <= 3) AS n_errors
+         FROM e LEFT JOIN l ON e.a = l.a AND e.session_id = l.session_id
+           AND l.ts >= e.ts - INTERVAL 4 HOUR AND l.ts <= e.ts + INTERVAL 30 MINUTE GROUP BY 1, 2)
+       SELECT event_name, COUNT(*) AS n, CAST(sum(n_logs) AS BIGINT) AS n_logs, CAST(sum(n_errors) AS BIGINT) AS n_errors
+       FROM n GROUP BY 1""",
+    "fx_track fx_log",
+)
+def _(t):
+    events, logs = t.scratch(), t.scratch()
+    write_signals(event_signals(t), events)
+    tenants = t.view("fx_track").select("seq", F.unhex(F.md5(F.when(F.col("k") < 50, "tenant-a").otherwise("tenant-b"))).alias("tenant"))
+    kept = op.log_payload(t.view("fx_log")).join(tenants, "seq")
+    write_signals(kept.select("tenant", "session_id", F.col("level").cast("tinyint").alias("level"), "ts", "payload"), logs)
+    landed = op.with_row_id(read_signals(t.spark, events, "event"))
+    near = op.logs_near_event(landed, read_signals(t.spark, logs, "log"), "4 hours", "30 minutes")
+    return near.groupBy("event_name").agg(
+        F.count("*").alias("n"), F.sum("n_logs").alias("n_logs"), F.sum("n_errors").alias("n_errors")
+    )
+
+
 @query(
     "write_signals",
     """SELECT strftime(ts, '%Y-%m-%d') AS day, event_name, COUNT(*) AS n FROM fx_track GROUP BY 1, 2""",
