@@ -1,6 +1,6 @@
 """Row rules. Each ``validate_*`` adds ``error STRUCT<field, reason>`` with the first failure.
 
-NULL in a required text field counts as empty: the wire cannot carry an absent one.
+The reasons are fixed values. NULL in a required text field counts as empty: the wire cannot carry an absent one.
 """
 
 from __future__ import annotations
