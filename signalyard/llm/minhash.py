@@ -1,13 +1,13 @@
 """Near-duplicate classes: ProbMinHash signatures, banding, exact verification, connected components.
 
-Shingles are five consecutive words (lower-cased A-Z, split at white space), weighted by a damped count. Each shingle
-is a Poisson process whose arrivals fall on the components of a signature; a component keeps its first
-arrival, and a shingle stops as soon as its next arrival is later than all of its text's components. Two
-signatures agree in a component with the probability Jaccard similarity of the weighted sets.
+Shingles are five consecutive words (lower-cased A-Z, split at white space), each of weight 1 however often a text has it, as
+in the similarity that decides. Each shingle is a Poisson process whose arrivals fall on the components of a signature; a
+component keeps its first arrival, and a shingle stops as soon as its next arrival is later than all of its text's
+components. Two signatures agree in a component with the Jaccard similarity of the sets.
 
 Rows with equal shingle sets are one node. Nodes that share a band are candidates; links are decided by
 the Jaccard similarity of the whole shingle sets. In a bucket every node is checked against one leader, which is linear.
-Nodes that this leaves in different components of one bucket are then compared in blocks, of which only links come back.
+Nodes that this leaves in different components of one bucket are then compared whole in blocks, of which only links come back.
 """
 
 from __future__ import annotations
@@ -100,8 +100,8 @@ def signed(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             n = block.num_rows
-            row, value, count, _ = shingle_sets(*utf8(block.column("text")))
-            found = band_hashes(signatures(row, value, 1 + np.log(count), n, BANDS * ROWS))
+            row, value, _, _ = shingle_sets(*utf8(block.column("text")))
+            found = band_hashes(signatures(row, value, np.ones(len(row)), n, BANDS * ROWS))
             sizes = np.bincount(row, minlength=n)
             node = np.zeros(n, np.uint64)
             with np.errstate(over="ignore"):
@@ -121,22 +121,16 @@ def signed(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, text_key long, node long, bands array<long>")
 
 
-# Components of the signature that screens pairs before their sets are compared, and the least number that must agree:
-# 4.5 standard deviations below what a pair at the threshold shows.
-SCREEN = 192
-SCREEN_LEAST = int(SCREEN * THRESHOLD - 4.5 * (SCREEN * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
-
-_SETS = pa.schema([("node", pa.int64()), ("shingles", pa.binary()), ("screen", pa.binary())])
+_SETS = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
 
 
 def shingle_table(texts: DataFrame) -> DataFrame:
-    """node, its distinct shingles (sorted 64-bit hashes) and a screening signature (16 bits a component)."""
+    """node and its distinct shingles (sorted 64-bit hashes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             n = block.num_rows
-            row, value, count, _ = shingle_sets(*utf8(block.column("text")))
-            screen = signatures(row, value, 1 + np.log(count), n, SCREEN).astype("<u2")
+            row, value, _, _ = shingle_sets(*utf8(block.column("text")))
             order = np.lexsort((value, row))
             packed = value[order].astype("<u8")
             upto = np.searchsorted(row[order], np.arange(n + 1)).tolist()
@@ -144,10 +138,9 @@ def shingle_table(texts: DataFrame) -> DataFrame:
                 _SETS,
                 node=block.column("node"),
                 shingles=[packed[a:b].tobytes() for a, b in zip(upto[:-1], upto[1:], strict=True)],
-                screen=[screen[k].tobytes() for k in range(n)],
             )
 
-    return texts.select("node", "text").mapInArrow(run, "node long, shingles binary, screen binary")
+    return texts.select("node", "text").mapInArrow(run, "node long, shingles binary")
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -214,29 +207,42 @@ def components(links: DataFrame) -> DataFrame:
 
 # Members of a bucket that meet the members of another block in one task.
 _BLOCK = 1024
+# Shingles that are looked up at once.
+_LOOKUP = 1 << 20
+
+
+def shared_numbers(sets: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
+    """Of each set the values that another one has too, numbered from 0, and how many numbers there are."""
+    every = np.concatenate(sets)
+    every.sort()
+    twice = np.unique(every[1:][every[1:] == every[:-1]])
+    del every
+    numbers = []
+    for own in sets:
+        at = np.searchsorted(twice, own)
+        held = at < len(twice)
+        held[held] = twice[at[held]] == own[held]
+        numbers.append(at[held].astype(np.int32))
+    return numbers, len(twice)
 
 
 def compare_block(group: pa.Table) -> pa.Table:
     """Links between members of a bucket that lie in different components.
 
-    All pairs of two blocks (or of one) are screened by their signatures; those that pass are compared whole, but for
-    pairs that share an earlier bucket (they meet there) or whose components have met here meanwhile.
+    All pairs of two blocks (or of one) are compared whole, but for pairs whose sizes alone rule the threshold out,
+    pairs that share an earlier bucket (they meet there) and pairs whose components have met here meanwhile.
     """
     n = group.num_rows
     node = group.column("node").to_numpy()
     part = group.column("part").to_numpy()
-    component = group.column("component").to_numpy()
-    screen = np.frombuffer(b"".join(group.column("screen").to_pylist()), "<u2").reshape(n, SCREEN)
+    component = group.column("component").to_numpy().copy()
     bands = np.array(group.column("bands").to_pylist(), np.int64).reshape(n, BANDS)
     band = int(np.flatnonzero(bands[0] == group.column("bucket")[0].as_py())[0])
-    sets = [np.frombuffer(s, "<u8") for s in group.column("shingles").to_pylist()]
+    sets = [np.frombuffer(s.as_buffer(), "<u8") for s in group.column("shingles")]
+    size = np.array([len(s) for s in sets])
+    shared, upto = shared_numbers(sets)
+    held = np.zeros(upto, bool)
     crossing = len(set(part.tolist())) > 1 or group.column("low")[0].as_py() != group.column("high")[0].as_py()
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while x in parent:
-            x = parent[x]
-        return x
 
     found = []
     for i in range(n - 1):
@@ -244,16 +250,24 @@ def compare_block(group: pa.Table) -> pa.Table:
         rest = rest[component[rest] != component[i]]
         if crossing:
             rest = rest[part[rest] != part[i]]
-        if not len(rest):
-            continue
-        rest = rest[(screen[rest] == screen[i]).sum(1) >= SCREEN_LEAST]
+        # No pair is more alike than the smaller set is large next to the larger one.
+        rest = rest[np.minimum(size[rest], size[i]) / np.maximum(size[rest], size[i]) >= THRESHOLD]
         if band and len(rest):
             rest = rest[~(bands[rest, :band] == bands[i, :band]).any(1)]
-        for j in rest.tolist():
-            left, right = root(int(component[i])), root(int(component[j]))
-            if left != right and similarity(sets[i], sets[j]) >= THRESHOLD:
-                parent[max(left, right)] = min(left, right)
-                found.append((int(node[i]), int(node[j])))
+        if not len(rest):
+            continue
+        held[shared[i]] = True
+        runs = np.cumsum(size[rest]) // _LOOKUP
+        for some in np.split(rest, np.flatnonzero(np.diff(runs)) + 1):
+            ends = np.cumsum([len(shared[j]) for j in some])
+            hits = np.concatenate([[0], np.cumsum(held[np.concatenate([shared[j] for j in some])])])
+            both = np.diff(hits[ends], prepend=0)
+            for j in some[both / (size[some] + size[i] - both) >= THRESHOLD].tolist():
+                left, right = sorted((int(component[i]), int(component[j])))
+                if left != right:
+                    component[component == right] = left
+                    found.append((int(node[i]), int(node[j])))
+        held[shared[i]] = False
     return pa.Table.from_batches([batch_of(_LINKS, a=[a for a, _ in found], b=[b for _, b in found])])
 
 

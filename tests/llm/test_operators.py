@@ -9,6 +9,7 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("signalyard.llm")
@@ -194,6 +195,63 @@ def test_near_duplicates_against_all_pairs(spark):
     assert got == {i: root(i) for i in range(len(rows))} and 12 < len(set(got.values())) < 250
 
 
+def test_near_duplicates_with_repeated_passages(spark):
+    """What a text repeats counts once: families with a footer 1 to 100 times over give the classes of all pairs."""
+    draw = random.Random(12)
+    rows = []
+    for family in range(40):
+        origin, footer = _words(500 + family, 300), _words(900 + family, 50)
+        for times in (0, 1, 10, 50, 100):
+            own = list(origin)
+            for _ in range(draw.choice([0, 0, 1, 3])):
+                own[draw.randrange(len(own))] = f"z{draw.randint(0, 10**6)}"
+            rows.append((len(rows), " ".join(own + footer * times)))
+    sets = [_shingles(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(df).collect()}
+    assert got == {i: root(i) for i in range(len(rows))} and 40 <= len(set(got.values())) < 120
+
+
+def test_block_comparison_against_all_pairs():
+    """No pair of a bucket that reaches the threshold is passed over, whatever share of it a text repeats."""
+    draw = np.random.default_rng(13)
+    sets = []
+    for _ in range(60):
+        origin = draw.integers(0, 1 << 62, draw.integers(5, 400), dtype=np.uint64)
+        for _ in range(4):
+            keep = draw.random(len(origin)) > draw.choice([0.05, 0.1, 0.2])
+            sets.append(np.unique(np.concatenate([origin[keep], draw.integers(0, 1 << 62, 3, dtype=np.uint64)])))
+    n = len(sets)
+    group = pa.table({
+        "bucket": np.zeros(n, np.int64), "low": np.zeros(n, np.int64), "high": np.zeros(n, np.int64), "part": np.zeros(n, np.int64),
+        "node": np.arange(n), "component": np.arange(n), "shingles": pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
+        "bands": pa.array([[0] * minhash.BANDS] * n),
+    })
+    links = minhash.compare_block(group).to_pylist()
+    alike = [(i, j) for i in range(n) for j in range(i + 1, n) if minhash.similarity(sets[i], sets[j]) >= minhash.THRESHOLD]
+    assert {(x["a"], x["b"]) for x in links} <= set(alike)
+
+    def groups(pairs):
+        of = list(range(n))
+        for a, b in pairs:
+            of = [min(of[a], of[b]) if c in (of[a], of[b]) else c for c in of]
+        return of
+
+    assert groups((x["a"], x["b"]) for x in links) == groups(alike) and len(alike) > 60
+
+
 def test_near_duplicates_edges(docs, none):
     got = sorted(((r["doc_id"], r["class_id"]) for r in minhash.near_duplicates(docs).collect()), key=repr)
     assert [c for i, c in got if i in (1, 2, 3)] == [1, 1, 1] and len(got) == len(ROWS)
