@@ -301,8 +301,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = durable(signed(own))
     filled = rows.filter("node IS NOT NULL")
+    # Bands follow from the distinct shingles alone: all rows of a node have the same.
     nodes = filled.groupBy("node").agg(
-        F.first("bands").alias("bands"), F.min(F.struct("doc_id", "text_key")).alias("at"), F.min("doc_id").alias("least"),
+        F.min("bands").alias("bands"), F.min(F.struct("doc_id", "text_key")).alias("at"), F.min("doc_id").alias("least"),
     )
     spread = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")

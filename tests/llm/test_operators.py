@@ -224,6 +224,13 @@ def test_near_duplicates_with_repeated_passages(spark):
     assert got == {i: root(i) for i in range(len(rows))} and 40 <= len(set(got.values())) < 120
 
 
+def test_rows_of_a_node_have_equal_bands(spark):
+    footer = _words(4, 50)
+    rows = [(k, " ".join(BASE + footer * times)) for k, times in enumerate([2, 3, 10, 100])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert len({(r["node"], tuple(r["bands"])) for r in minhash.signed(df).collect()}) == 1
+
+
 def test_block_comparison_against_all_pairs():
     """No pair of a bucket that reaches the threshold is passed over, whatever share of it a text repeats."""
     draw = np.random.default_rng(13)
