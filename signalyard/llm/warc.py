@@ -1,7 +1,7 @@
 """WARC archives: a deterministic sharded writer with revisit records, and a reader.
 
-Records are range-sorted by page. A task compresses each record on its own and rolls to the next file once the
-compressed size is reached. Files are written under temporary names, renamed, and listed in a manifest; a repeated task
+Records are sorted by page in shards, whose bounds follow from the pages alone, not from how they are partitioned. A task
+compresses each record on its own and rolls to the next file at the end of a shard or once the compressed size is reached. Files are written under temporary names, renamed, and listed in a manifest; a repeated task
 writes the same bytes under the same names.
 """
 
@@ -15,8 +15,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalyard.llm.common import batch_of, blocks, ship
@@ -26,6 +25,10 @@ from signalyard.session import durable, shared_dir
 # Compressed bytes after which a file is followed by the next, and payload bytes from which equal payloads are revisits.
 ROLL_BYTES = 64 << 20
 REVISIT_BYTES = 1000
+# Payload bytes of a shard, of which there are at most so many, and rows that are looked at per shard to place its bounds.
+SHARD_BYTES = 16 << 20
+_MOST_SHARDS = 10_000
+_PER_SHARD = 64
 # All records bear this date: the same pages give the same bytes.
 DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -68,14 +71,14 @@ class Roller:
     def __init__(self, folder: str, part: int, limit: int):
         self._store, self._root = fs.FileSystem.from_uri(folder)
         self._store.create_dir(self._root)
-        self._folder, self._part, self._limit = folder, part, limit
+        self._folder, self.part, self._limit = folder, part, limit
         self._file, self._hidden = None, ""
         self._bytes = self._records = 0
         self.done: list[dict] = []
 
     def write(self, data: bytes) -> None:
         if self._file is None:
-            self._hidden = f"{self._root}/_{self._part:06d}.{uuid.uuid4().hex}"
+            self._hidden = f"{self._root}/_{self.part:06d}.{uuid.uuid4().hex}"
             self._file = self._store.open_output_stream(self._hidden, compression=None)
             self._sum = hashlib.sha1()
         packer = zlib.compressobj(6, zlib.DEFLATED, 31)
@@ -91,7 +94,7 @@ class Roller:
         if self._file is None:
             return
         self._file.close()
-        name = f"part-{self._part:06d}-{len(self.done):05d}.warc.gz"
+        name = f"part-{self.part:06d}-{len(self.done):05d}.warc.gz"
         self._store.move(self._hidden, f"{self._root}/{name}")
         self.done.append(
             {"path": f"{self._folder}/{name}", "n_records": self._records, "n_bytes": self._bytes, "sha1": self._sum.hexdigest()}
@@ -102,6 +105,29 @@ class Roller:
 _MANIFEST = pa.schema([("path", pa.string()), ("n_records", pa.int64()), ("n_bytes", pa.int64()), ("sha1", pa.string())])
 
 
+def _shard(rows: DataFrame) -> Column:
+    """Number of the shard of a row of ``rows`` (page_id, size); a page_id lies in one shard, a null one in the first.
+
+    The bounds cut the bytes of the page_ids of least hash evenly: the same rows give the same bounds, however they are dealt.
+    """
+    n_rows, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    shards = min(_MOST_SHARDS, -(-total // SHARD_BYTES))
+    if shards <= 1:
+        return F.lit(0)
+    share = int(min(1.0, shards * _PER_SHARD / n_rows) * (1 << 30))
+    chosen = rows.filter("page_id IS NOT NULL").filter(F.pmod(F.xxhash64("page_id"), F.lit(1 << 30)) < share)
+    found = sorted((r["page_id"], r["size"]) for r in chosen.groupBy("page_id").agg(F.sum("size").alias("size")).collect())
+    whole, upto, bounds = sum(size for _, size in found), 0, []
+    for page_id, size in found[:-1]:
+        before, upto = upto, upto + size
+        if before * shards // whole < upto * shards // whole:
+            bounds.append(page_id)
+    if not bounds:
+        return F.lit(0)
+    places = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<long>")
+    return F.size(F.filter(places, lambda b: b < F.col("page_id")))
+
+
 def write_warc(
     pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, revisit_bytes: int = REVISIT_BYTES
 ) -> DataFrame:
@@ -123,18 +149,27 @@ def write_warc(
     # A reference travels as a row of its own just before its page, so the payloads are shuffled once, for the order.
     references = ids.join(shared, "digest").select("page_id", "digest", "largest").distinct()
     none = F.lit(None).cast("string")
+    shard = _shard(rows.select("page_id", (F.octet_length("html").cast("long") + 1).alias("size")))
     both = rows.select("page_id", "digest", F.lit(1).alias("kind"), "url", "html", F.lit(None).cast("long").alias("largest")).union(
         references.select("page_id", "digest", F.lit(0), none, none, "largest")
     )
-    ordered = both.repartitionByRange("page_id").sortWithinPartitions("page_id", "digest", "kind", "url")
+    # A task takes whole shards; which ones does not matter.
+    dealt = both.withColumn("shard", shard).repartitionByRange("shard")
+    ordered = dealt.sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Roller(target, TaskContext.get().partitionId(), roll_bytes)
+        out: Roller | None = None
         last, copies = None, 0  # how many records of this page_id and payload there are so far
         reference: tuple | None = None
         answered = False  # whether the referred record itself has been written
+        done: list[dict] = []
         for block in blocks(batches, "html"):
-            for page_id, digest, kind, url, html, largest in zip(*(c.to_pylist() for c in block.columns), strict=True):
+            for page_id, digest, kind, url, html, largest, part in zip(*(c.to_pylist() for c in block.columns), strict=True):
+                if out is None or out.part != part:
+                    if out is not None:
+                        out.roll()
+                        done += out.done
+                    out = Roller(target, part, roll_bytes)
                 if (page_id, digest) != last:
                     last, copies = (page_id, digest), 0
                 if kind == 0:
@@ -145,9 +180,11 @@ def write_warc(
                     refers_to, answered = None, True
                 out.write(record(page_id, copies, url, html.encode(), digest, refers_to))
                 copies += 1
-        out.roll()
-        if out.done:
-            yield batch_of(_MANIFEST, **{c: [d[c] for d in out.done] for c in _MANIFEST.names})
+        if out is not None:
+            out.roll()
+            done += out.done
+        if done:
+            yield batch_of(_MANIFEST, **{c: [d[c] for d in done] for c in _MANIFEST.names})
 
     return durable(ordered.mapInArrow(run, "path string, n_records long, n_bytes long, sha1 string"))
 

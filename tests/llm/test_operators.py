@@ -114,6 +114,20 @@ def test_warc(spark, tmp_path):
     assert warc.read_warc(warc.write_warc(pages.limit(0), str(tmp_path / "c"))).count() == 0
 
 
+def test_warc_files_follow_from_the_pages_alone(spark, tmp_path, monkeypatch):
+    """More rows than Spark samples for a range, dealt in two ways, give the same files."""
+    monkeypatch.setattr(warc, "SHARD_BYTES", 40_000, raising=False)
+    pages = spark.range(6000).selectExpr("id * id AS page_id", "concat('http://a/', id) AS url", "repeat(cast(id % 89 AS string), 30) AS html")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for name, parts in (("a", 3), ("b", 7)):
+            assert warc.read_warc(warc.write_warc(pages.repartition(parts), str(tmp_path / name))).count() == 6000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    a, b = ({p.name: p.read_bytes() for p in (tmp_path / name).iterdir() if p.suffix == ".gz"} for name in "ab")
+    assert a == b and len(a) >= 4
+
+
 def _library(name):
     return tokenizers.Tokenizer.from_file(vocabulary(name))
 
