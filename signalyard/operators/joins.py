@@ -212,11 +212,12 @@ def logs_near_event(
     )
 
 
-def net_revenue(orders: DataFrame, refunds: DataFrame) -> DataFrame:
+def net_revenue(orders: DataFrame, refunds: DataFrame, identity: Sequence[str] = ()) -> DataFrame:
     """Per order: gross amount, refunded or canceled amount, and what is left.
 
     Delivery is at least once, so repeats count once: of several rows of one order the earliest stands, whole, and
-    refunds equal in every column but ``seq`` are one refund. Refunds that may be alike need a column that tells them apart.
+    refunds of one order that agree in ``identity`` are one refund, the least amount if they differ. Without ``identity``, refunds
+    equal in every column but ``seq`` are one, and refunds that may be alike need a column that tells them apart.
     """
     keys = with_tenant(orders, "order_id")
     carried = [c for c in orders.columns if c not in (*keys, "amount", "seq")]
@@ -224,7 +225,11 @@ def net_revenue(orders: DataFrame, refunds: DataFrame) -> DataFrame:
     gross = orders.groupBy(*keys).agg(earliest).select(
         *keys, F.col("_first.amount").alias("gross"), *[F.col("_first")[c].alias(c) for c in carried]
     )
-    once = refunds.dropDuplicates([c for c in refunds.columns if c != "seq"])
+    if identity:
+        own = list(dict.fromkeys([*keys, *identity]))
+        once = refunds.groupBy(*own).agg(F.min("amount").alias("amount"))
+    else:
+        once = refunds.dropDuplicates([c for c in refunds.columns if c != "seq"])
     back = once.groupBy(*keys).agg(F.sum("amount").alias("refunded"))
     refunded = F.coalesce("refunded", F.lit(0.0))
     return gross.join(back, keys, "left").select(

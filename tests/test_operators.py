@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -323,3 +324,28 @@ def test_redelivered_orders_and_refunds_count_once(table, rows_of):
     refunds = table("order_id string, ts timestamp, amount double", ("o", T0, 2.0), ("o", T0, 2.0), ("o", None, 3.0))
     got = op.net_revenue(orders, refunds)
     assert rows_of(got, "order_id", "currency", "gross", "refunded", "net") == [("o", "USD", 10.0, 5.0, 5.0)]
+
+
+@pytest.mark.parametrize("name", ["net_revenue", "net_revenue_by_day"])
+def test_equal_partial_refunds_of_one_order_both_count(spark, monkeypatch, name):
+    """Each refund comes a second time under its own seq, and both are delivered twice."""
+    from __spark_entry__ import queries
+    from workloads.tables import Tables
+
+    folder, view = "/root/testdata/sf0.001", Tables.view
+    if not Path(folder).exists():
+        pytest.skip("test tables are not here")
+
+    def refunded():
+        return queries()[name](spark, folder).agg({"refunded": "sum"}).first()[0]
+
+    def more(self, asked):
+        rows = view(self, asked)
+        if asked != "fx_refund":
+            return rows
+        both = rows.unionByName(rows.withColumn("seq", rows["seq"] + 10**9))
+        return both.unionByName(both)
+
+    once = refunded()
+    monkeypatch.setattr(Tables, "view", more)
+    assert once > 0 and refunded() == pytest.approx(2 * once, abs=0.1)

@@ -31,7 +31,7 @@ def net_revenue_by_day(t):
     valid, _ = op.split_valid(checked)
     orders = valid.select("order_id", "ts", "user_id", "currency", "amount")
     canonical = op.apply_identity(orders, op.resolve_identities(t.view("fx_alias")))
-    net = op.net_revenue(canonical, t.view("fx_refund").select("order_id", "amount"))
+    net = op.net_revenue(canonical, t.view("fx_refund"), ["seq", "ts"])
     return net.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), "currency", "user_id").agg(
         F.count("*").alias("orders"),
         num(F.sum("gross"), 3).alias("gross"),
@@ -154,7 +154,7 @@ def _(t):
 @query("net_revenue", NET_REVENUE_SQL, "fx_revenue fx_refund")
 def _(t):
     orders = t.view("fx_revenue").select("order_id", "amount")
-    net = op.net_revenue(orders, t.view("fx_refund").select("order_id", "amount"))
+    net = op.net_revenue(orders, t.view("fx_refund"), ["seq", "ts"])
     return net.select("order_id", num("gross", 3).alias("gross"), num("refunded", 3).alias("refunded"), num("net", 3).alias("net"))
 
 
