@@ -51,7 +51,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack_sequences),
 ]
 
-# Near-duplicate classes and token ids are beyond SQL; tests/llm/test_pipeline.py has a brute-force version.
+# Near-duplicate classes and token ids are beyond SQL; tests/llm/test_operators.py has brute-force versions of all stages.
 ORACLE_SQL: str | None = None
 
 

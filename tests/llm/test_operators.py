@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
+import zlib
 from collections import defaultdict
 from pathlib import Path
 
@@ -387,3 +389,49 @@ def test_pipeline_against_single_stages(spark):
     clean = corpus_pipeline.decontamination(spark, stage, FOLDER)
     pieces = corpus_pipeline.run(spark, FOLDER)
     assert {r["doc_id"] for r in pieces.collect()} == {r["doc_id"] for r in clean.collect()}
+
+
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
+def test_pipeline_pieces_against_windows_and_library(spark):
+    """Decontamination by plain windows of 13 words, and every piece of run() by the library's ids."""
+    stage = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    for _, step in corpus_pipeline.STAGES[:3]:
+        stage = step(spark, stage, FOLDER)
+    texts = {r["doc_id"]: r["text"] or "" for r in stage.collect()}
+
+    def words(text):
+        return re.findall(rb"[0-9a-z\x80-\xff]+", text.encode().lower())
+
+    asked = defaultdict(set)
+    for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect():
+        own = words(r["text"] or "")
+        size = min(13, len(own))
+        if r["item_id"] is not None and own:
+            asked[size] |= {tuple(own[k : k + size]) for k in range(len(own) - size + 1)}
+    clean = {}
+    for i, text in texts.items():
+        own, hit = words(text), set()
+        for size, windows in asked.items():
+            for k in range(len(own) - size + 1):
+                if tuple(own[k : k + size]) in windows:
+                    hit |= set(range(k, k + size))
+        if not (hit and 20 * len(hit) >= len(own)):
+            clean[i] = text
+    assert 0 < len(clean) < len(texts)
+    library = _library("word_bpe_49k.json")
+    ids = {i: [*library.encode(t, add_special_tokens=False).ids, 1] for i, t in clean.items()}
+    parts, sequences = defaultdict(list), defaultdict(list)
+    for p in corpus_pipeline.run(spark, FOLDER).collect():
+        parts[p["doc_id"]].append((p["start"], p["length"]))
+        sequences[p["sequence_id"]].append((p["offset"], p["length"]))
+        own = ids[p["doc_id"]]
+        assert p["length"] > 0 and p["doc_tokens"] == len(own)
+        assert p["ids_crc32"] == zlib.crc32(np.array(own[p["start"] : p["start"] + p["length"]], "<u4").tobytes())
+    assert parts.keys() == ids.keys()
+    gapless = [(v, len(ids[i])) for i, v in parts.items()] + [(v, None) for v in sequences.values()]
+    for runs, total in gapless:
+        at = 0
+        for start, length in sorted(runs):
+            assert start == at
+            at += length
+        assert at == total or total is None and at <= 2048
