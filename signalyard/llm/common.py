@@ -91,13 +91,59 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
-_BASE = np.uint64(0x5851F42D4C957F2D)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+# Polynomial hashes are taken modulo the prime 2^61 - 1: modulo a power of two, known strings collide for every base.
+_PRIME = np.uint64((1 << 61) - 1)
+_BASE = 0x0D3C9A1F4B7E62C5
+_LOW32, _LOW29 = np.uint64((1 << 32) - 1), np.uint64((1 << 29) - 1)
+_CHUNK = 1 << 14
+_S3, _S29, _S32, _S61 = (np.uint64(k) for k in (3, 29, 32, 61))
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Any 64-bit values modulo the prime; works in place."""
+    over = x >> _S61
+    x &= _PRIME
+    x += over
+    np.subtract(x, _PRIME, out=x, where=x >= _PRIME)
+    return x
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of values below it, from 32-bit halves."""
+    ah, al = a >> _S32, a & _LOW32
+    bh, bl = b >> _S32, b & _LOW32
+    middle = ah * bl
+    middle += al * bh
+    ah *= bh
+    ah <<= _S3  # 2^64 is 8
+    ah += middle >> _S29  # 2^61 is 1
+    middle &= _LOW29
+    middle <<= _S32
+    ah += middle
+    al *= bl
+    ah += al >> _S61
+    al &= _PRIME
+    ah += al
+    return _reduced(ah)
+
+
+def _sums(values: np.ndarray) -> np.ndarray:
+    """Running sums modulo the prime, one more than values."""
+    high = np.cumsum(values >> _S32, dtype=np.uint64)
+    total = np.empty(len(values) + 1, np.uint64)
+    total[0] = 0
+    np.cumsum(values & _LOW32, dtype=np.uint64, out=total[1:])
+    total[1:] = _reduced(total[1:])
+    total[1:] += high >> _S29
+    high &= _LOW29
+    high <<= _S32
+    total[1:] += high
+    return _reduced(total)
 
 
 @cache
 def _symbols() -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+    return _reduced(mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)))
 
 
 _kept_powers: list[tuple[np.ndarray, np.ndarray]] = []
@@ -108,40 +154,52 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if _kept_powers and len(_kept_powers[0][0]) >= n:
         return _kept_powers[0]
     size = -(-n // (1 << 17)) << 17
-    up, down = np.full(size, _BASE), np.full(size, _INVERSE)
-    up[0] = down[0] = 1
-    with np.errstate(over="ignore"):
-        np.cumprod(up, out=up)
-        np.cumprod(down, out=down)
+    found = []
+    for base in (_BASE, pow(_BASE, -1, int(_PRIME))):
+        powers = np.ones(1, np.uint64)
+        while len(powers) < size:
+            step = np.full(len(powers), pow(base, len(powers), int(_PRIME)), np.uint64)
+            powers = np.concatenate([powers, _times(powers, step)[: size - len(powers)]])
+        found.append(powers)
     if size <= 2 * BLOCK_BYTES:
-        _kept_powers[:] = [(up, down)]
-    return up, down
+        _kept_powers[:] = [(found[0], found[1])]
+    return found[0], found[1]
 
 
 class Rolling:
-    """Hashes of any run of a sequence in constant time, from prefix sums modulo 2^64."""
+    """Hashes of any run of a sequence in constant time, from prefix sums modulo the prime."""
 
-    def __init__(self, values: np.ndarray):
+    def __init__(self, values: np.ndarray, symbols: np.ndarray | None = None):
         up, self._down = _powers(len(values) + 1)
-        with np.errstate(over="ignore"):
-            sums = np.cumsum(values * up[: len(values)], dtype=np.uint64)
-        self._prefix = np.concatenate([np.zeros(1, np.uint64), sums])
+        self._prefix = np.zeros(len(values) + 1, np.uint64)
+        for at in range(0, len(values), _CHUNK):  # what a chunk needs stays in the cache
+            part = values[at : at + _CHUNK]
+            own = _reduced(part.copy()) if symbols is None else symbols[part]
+            sums = _sums(_times(own, up[at : at + len(part)]))[1:]
+            sums += self._prefix[at]
+            self._prefix[at + 1 : at + 1 + len(part)] = _reduced(sums)
 
     @staticmethod
     def of_bytes(data: np.ndarray) -> Rolling:
-        return Rolling(_symbols()[data])
+        return Rolling(data, _symbols())
+
+    def _between(self, low: np.ndarray, high: np.ndarray, down: np.ndarray) -> np.ndarray:
+        own = high + _PRIME
+        own -= low
+        return _times(_reduced(own), down)
 
     def runs(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """A 64-bit hash for each run ``[begin, end)``."""
+        own = self._between(self._prefix[begin], self._prefix[end], self._down[begin])
         with np.errstate(over="ignore"):
-            own = (self._prefix[end] - self._prefix[begin]) * self._down[begin]
             return mix(own + (end - begin).astype(np.uint64) * np.uint64(0x8EBC6AF09C88C6E3))
 
     def grams(self, n: int) -> np.ndarray:
         """A hash for each window of ``n`` consecutive values."""
         count = max(0, len(self._prefix) - n)
+        own = self._between(self._prefix[:count], self._prefix[n : n + count], self._down[:count])
         with np.errstate(over="ignore"):
-            return mix((self._prefix[n : n + count] - self._prefix[:count]) * self._down[:count] + np.uint64(n))
+            return mix(own + np.uint64(n))
 
 
 def repeated(hashes: np.ndarray) -> np.ndarray:

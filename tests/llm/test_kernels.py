@@ -14,6 +14,7 @@ pytest.importorskip("signalyard.llm")
 public_tokenizers = pytest.importorskip("public_tokenizers")
 tokenizers = pytest.importorskip("tokenizers")
 
+from signalyard.llm import common  # noqa: E402
 from signalyard.llm import decontaminate as dc  # noqa: E402
 from signalyard.llm import line_dedup, minhash, packing, quality, token_files, warc  # noqa: E402
 from signalyard.llm.common import Rolling, blocks, repeated, utf8  # noqa: E402
@@ -187,3 +188,44 @@ def test_warc_record_parses_back():
     headers, block = warc.parse(warc.record(None, 2, None, b"x" * 9, "e" * 40, 7))
     assert headers["WARC-Refers-To"] == f"<urn:page:7:{'e' * 40}:0>" and headers["WARC-Truncated"] == "length"
     assert zlib.crc32(block) == zlib.crc32(b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n")
+
+
+def _thue_morse(n: int) -> tuple[str, str]:
+    """A word and its complement, equal under every polynomial hash modulo 2^64."""
+    bits = [bin(k).count("1") & 1 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_rolling_is_a_polynomial_modulo_the_prime():
+    draw = np.random.default_rng(5)
+    data = draw.integers(0, 256, 3000).astype(np.uint8)
+    prime, values = int(common._PRIME), common._symbols()[data].tolist()
+
+    def plain(begin, end):
+        total = 0
+        for k in reversed(range(begin, end)):
+            total = (total * common._BASE + values[k]) % prime
+        mask = (1 << 64) - 1
+        return int(common.mix(np.array([(total + (end - begin) * 0x8EBC6AF09C88C6E3) & mask], np.uint64))[0])
+
+    begin = draw.integers(0, 2000, 50)
+    end = begin + draw.integers(0, 1000, 50)
+    got = Rolling.of_bytes(data).runs(begin, end)
+    assert got.tolist() == [plain(int(a), int(b)) for a, b in zip(begin, end, strict=True)]
+
+
+def test_thue_morse_words_differ():
+    one, two = _thue_morse(2048)
+    data, starts = utf8(pa.array([one, two, one]))
+    a, b, c = Rolling.of_bytes(data).runs(starts[:-1], starts[1:]).tolist()
+    assert a == c != b
+    by_word = Rolling(np.array([a, b, a], np.uint64)).grams(1)
+    assert by_word[0] == by_word[2] != by_word[1]
+    counts = quality.measure(*utf8(pa.array([f"{one}\n{two}"])), (5,))
+    assert counts["n_dup_lines"].tolist() == [0]
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    library = tokenizers.Tokenizer.from_file(path)
+    ids = [np.frombuffer(b, "<u4").tolist() for b in WordIds(path).encode_texts([one, two])]
+    assert ids == [library.encode(t, add_special_tokens=False).ids for t in (one, two)]
+    _, hashes = dc.hashed_words(data, starts)
+    assert len(set(hashes.tolist())) == 2
