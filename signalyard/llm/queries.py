@@ -238,10 +238,10 @@ damaged AS (
   SELECT conv_id, turn, CASE c WHEN 4 THEN 'user' ELSE role END AS role,
     CASE c WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
   FROM (SELECT *, unnest(generate_series(1, CASE c WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM chances)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
 numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
-    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth,
-    regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS filled FROM damaged),
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth,
+    regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS filled FROM placed),
 rows AS (
   SELECT conv_id, turn, i, role, text, left(role, 1) AS r, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
     CASE WHEN filled = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
@@ -303,7 +303,7 @@ def conversation_repair_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _TERMS_SQL = """regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
 
 
 @_query(

@@ -52,16 +52,29 @@ class Windows:
         data, starts = utf8(column)
         words = Words(data, starts)
         self._grams = Rolling(Rolling.of_bytes(data).runs(words.begin, words.end))
-        self._length = length
+        self._length, self._words = length, words
         self.at = np.flatnonzero(words.windows(length))
         self.row = words.row[self.at]
         self.start = self.at - words.starts[self.row]
 
     def anchors(self, shorter: int) -> np.ndarray:
+        """Per window the least hash of ``shorter`` words in it."""
         if not len(self.at):
             return np.zeros(0, np.uint64)
         return sliding_min(self._grams.grams(shorter), self._length - shorter + 1)[self.at]
 
+    def anchor_places(self, shorter: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and row of each place whose hash is the least of some window; equal hashes are places of their own."""
+        if not len(self.at):
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        width = self._length - shorter + 1
+        grams = self._grams.grams(shorter)
+        least = np.zeros(len(grams) + width - 1, np.uint64)
+        least[self.at + width - 1] = self.anchors(shorter)
+        # A place is an anchor when no window over it has a least hash as large but its own.
+        found = np.flatnonzero(grams == ~sliding_min(~least, width))
+        return grams[found], self._words.row[found]
+
     def hashes(self) -> np.ndarray:
         return self._grams.grams(self._length)[self.at] if len(self.at) else np.zeros(0, np.uint64)
 
@@ -148,18 +161,18 @@ def _found(keys: np.ndarray, values: np.ndarray) -> pa.Table:
 def send_anchors(batches: Iterator[pa.RecordBatch], length: int, shorter: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """The anchors of each text, once; ``places`` tells whether a text holds it at two places."""
     keys: list[np.ndarray] = []
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     size = n_docs = 0
 
     def flush() -> pa.RecordBatch:
-        value, doc, twice = (np.concatenate(c) for c in zip(*held, strict=True))
+        value, row = (np.concatenate(c) for c in zip(*held, strict=True))
         texts, same = np.unique(np.concatenate(keys), return_inverse=True)
-        row = doc
-        doc = same.ravel()[doc]
+        doc = same.ravel()[row]
         order = np.lexsort((row, doc, value))
-        value, doc, row, twice = value[order], doc[order], row[order], twice[order]
+        value, doc, row = value[order], doc[order], row[order]
         # Copies of one text bring the same anchors; only those of one row tell of two places.
-        twice[1:] |= (value[1:] == value[:-1]) & (row[1:] == row[:-1])
+        twice = np.zeros(len(value), bool)
+        twice[1:] = (value[1:] == value[:-1]) & (row[1:] == row[:-1])
         begins = np.flatnonzero(_heads(value, doc))
         twice = np.maximum.reduceat(twice, begins) if len(begins) else twice[:0]
         value, doc = value[begins], doc[begins]
@@ -171,10 +184,8 @@ def send_anchors(batches: Iterator[pa.RecordBatch], length: int, shorter: int, b
 
     for block in blocks(batches):
         found = Windows(block.column("text"), length)
-        value = found.anchors(shorter)
-        begins = np.flatnonzero(_heads(value, found.row)) if len(value) else np.zeros(0, np.int64)
-        runs = np.diff(np.append(begins, len(value)))
-        held.append((value[begins], found.row[begins] + n_docs, runs > length - shorter + 1))
+        value, row = found.anchor_places(shorter)
+        held.append((value, row + n_docs))
         keys.append(_keys(block, False))
         n_docs += block.num_rows
         size += block.column("text").nbytes
