@@ -133,6 +133,7 @@ class Ordered:
     order: tuple[str, ...]
     cold: DataFrame
     hot: DataFrame | None = field(default=None)
+    small: bool = True  # few hot keys
 
     @staticmethod
     def of(df: DataFrame, keys: Sequence[str], order: Sequence[str], check: bool = True) -> Ordered:
@@ -147,7 +148,7 @@ class Ordered:
         cold, warm = split(df, hot)
         ranged = warm.repartitionByRange(hot.pieces, *keys, *order)
         # The piece numbers are sampled, so they are written down before two plans read them.
-        return Ordered(keys, order, cold, durable(ranged.withColumn(_CHUNK, F.spark_partition_id())))
+        return Ordered(keys, order, cold, durable(ranged.withColumn(_CHUNK, F.spark_partition_id())), hot.small)
 
     def with_columns(self, **columns: Column) -> Ordered:
         """Row-wise columns; keys and order must stay as they are."""
@@ -157,7 +158,7 @@ class Ordered:
         return self._map(lambda df: df.filter(condition))
 
     def _map(self, fn: Callable[[DataFrame], DataFrame]) -> Ordered:
-        return Ordered(self.keys, self.order, fn(self.cold), None if self.hot is None else fn(self.hot))
+        return Ordered(self.keys, self.order, fn(self.cold), None if self.hot is None else fn(self.hot), self.small)
 
     def scan(self, **scans: Scan) -> Ordered:
         """Add one column per scan."""
@@ -178,14 +179,14 @@ class Ordered:
         )
         inside = windows(piece, self.order)
         local = self.hot.withColumns({f"_in_{n}": s.within(inside[s.backward]) for n, s in scans.items()})
-        # One carried row per (hot key, piece): no more than hot keys plus pieces.
-        joined = local.join(F.broadcast(carried), same_key(local, carried, piece), "left")
+        # One carried row per (hot key, piece): sent to all tasks only where the hot keys themselves were few.
+        joined = local.join(F.broadcast(carried) if self.small else carried, same_key(local, carried, piece), "left")
         joined = joined.select(*[local[c] for c in local.columns], *[carried[f"_carry_{n}"] for n in scans])
         values = {
             n: s.join(F.col(f"_in_{n}"), F.col(f"_carry_{n}"), inside[s.backward]) for n, s in scans.items()
         }
         extra = [f"_{part}_{n}" for n in scans for part in ("in", "carry")]
-        return Ordered(self.keys, self.order, cold, joined.withColumns(values).drop(*extra))
+        return Ordered(self.keys, self.order, cold, joined.withColumns(values).drop(*extra), self.small)
 
     def frame(self) -> DataFrame:
         """The rows as one DataFrame."""

@@ -1,8 +1,8 @@
 """Finding keys that are too big for one task, and joining around them.
 
 A hot key is one with more rows, or more bytes of text, than a task should take: a fixed target that depends
-neither on the size of the table nor on the number of partitions, and never on an estimate. Rows are counted once, combined
-on the map side. At most ``_COLLECTED`` hot keys are collected and broadcast; a longer list is written down and joined.
+neither on the size of the table nor on the number of partitions, and never on an estimate. No key has more rows or bytes than
+the table, so the table is counted first, without a shuffle; only beyond a limit are rows counted per key, combined on the map side. At most ``_COLLECTED`` hot keys are collected and broadcast; a longer list is written down and joined.
 """
 
 from __future__ import annotations
@@ -41,12 +41,15 @@ def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys | None:
-    """Keys of ``df`` that must be split, or None when an ordinary shuffle is fine: one counting job."""
+    """Keys of ``df`` that must be split, or None when an ordinary shuffle is fine: one counting job, or two for a large table."""
     spark = df.sparkSession
     most_rows = int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
     most_bytes = int(spark.conf.get(HOT_BYTES_CONF, str(HOT_BYTES_DEFAULT)))
     long = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in long), F.lit(0)).cast("bigint")
+    total = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    if total["rows"] <= most_rows and total["bytes"] <= most_bytes:
+        return None
     counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"), F.sum(size).alias("_bytes"))
     pieces = F.greatest(F.ceil(F.col("_rows") / most_rows), F.ceil(F.col("_bytes") / most_bytes)).cast("bigint")
     big = counts.filter((F.col("_rows") > most_rows) | (F.col("_bytes") > most_bytes)).withColumn("_pieces", pieces)

@@ -293,23 +293,22 @@ def _(t):
     return rows.select("kind", "seq", us("ts").alias("us"), "event_name", "level", "value")
 
 
-_EARLY = "SELECT user_id FROM fx_track WHERE ts < TIMESTAMP '2024-01-02'"
-_LATE = "SELECT user_id FROM fx_track WHERE ts >= TIMESTAMP '2024-01-30'"
+_BUYERS, _ACTIVE = "SELECT concat('u', o_custkey) AS user_id FROM orders", "SELECT user_id FROM fx_track"
 
 
-def _periods(t):
-    rows = t.view("fx_track")
-    return rows.filter("ts < '2024-01-02'"), rows.filter("ts >= '2024-01-30'")
+def _segments(t):
+    """Everyone who ever ordered, and everyone who ever did anything."""
+    return t.base("orders").select(F.concat(F.lit("u"), "o_custkey").alias("user_id")), t.view("fx_track")
 
 
-@query("users_in_both", f"{_EARLY} INTERSECT {_LATE}", "fx_track")
+@query("users_in_both", f"{_BUYERS} INTERSECT {_ACTIVE}", "fx_track")
 def _(t):
-    return op.users_in_both(*_periods(t))
+    return op.users_in_both(*_segments(t))
 
 
-@query("users_lost", f"{_EARLY} EXCEPT {_LATE}", "fx_track")
+@query("users_lost", f"{_BUYERS} EXCEPT {_ACTIVE}", "fx_track")
 def _(t):
-    return op.users_lost(*_periods(t))
+    return op.users_lost(*_segments(t))
 
 
 @query(

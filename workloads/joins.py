@@ -179,11 +179,11 @@ def _(t):
 @query(
     "users_without",
     """SELECT DISTINCT user_id FROM fx_track WHERE user_id NOT IN
-       (SELECT user_id FROM fx_identify WHERE plan = 'pro' AND k > 70)""",
+       (SELECT user_id FROM fx_identify WHERE plan = 'pro')""",
     "fx_track fx_identify",
 )
 def _(t):
-    pro = t.view("fx_identify").filter("plan = 'pro' AND k > 70")
+    pro = t.view("fx_identify").filter("plan = 'pro'")
     return op.users_without(t.view("fx_track"), pro)
 
 
@@ -200,13 +200,14 @@ def _(t):
 
 @query(
     "orphan_aliases",
-    """SELECT previous_id, user_id FROM fx_alias WHERE previous_id NOT IN
-       (SELECT user_id FROM fx_track WHERE ts < TIMESTAMP '2024-01-02' AND event_name = 'Order Completed')""",
-    "fx_track fx_alias",
+    """SELECT previous_id, user_id FROM (SELECT concat('u', c_custkey) AS previous_id, concat('c', c_nationkey) AS user_id FROM customer)
+       WHERE previous_id NOT IN (SELECT user_id FROM fx_track)""",
+    "fx_track",
 )
 def _(t):
-    seen = t.view("fx_track").filter("ts < '2024-01-02' AND event_name = 'Order Completed'")
-    return op.orphan_aliases(t.view("fx_alias"), seen)
+    key = F.concat(F.lit("u"), "c_custkey").alias("previous_id")
+    aliases = t.base("customer").select(key, F.concat(F.lit("c"), "c_nationkey").alias("user_id"))
+    return op.orphan_aliases(aliases, t.view("fx_track"))
 
 
 @query(
