@@ -93,36 +93,69 @@ def join_streams(
     delay: str = "10 minutes",
     on: Sequence[str] = ("session_id",),
 ) -> DataFrame:
-    """Events with log counts of the same session from ``before`` to ``after`` their time.
+    """Each event once, with the logs of its session from ``before`` to ``after`` its time: the stream form of ``logs_near_event``.
 
-    Logs are first counted per session and ``slot``; an event meets the slots that start in its range.
-    So an event has at most (before + after) / slot + 1 rows, however many logs there are. The columns
-    of the log side are ``slot_start``, ``n_logs``, ``n_errors`` and ``worst_level``.
+    Adds ``n_logs``, ``n_errors`` and ``worst_level``; both ends of the range belong to it. Logs are summed up per session
+    and ``slot``. An event meets the sums of the slots that lie in its range, and the single logs of the slots at its two
+    edges; what it meets is added up per event. All joins are on (session, slot), so a busy session is spread over its slots, and
+    an event has (before + after) / slot + 2 rows at most besides its edge logs: choose the slot by how busy a session gets.
+
+    An event comes out once both streams are past its range and ``delay``. Rows later than that are dropped by Spark; an event without
+    logs, or without a session, has zeros and a null level; equal events come out as often as they came in, within a
+    ``delay``. Columns of ``events`` must be groupable (no maps or variants).
     """
     keys = with_tenant(events, *on)
-    slots = (
-        _marked(logs.filter(" AND ".join(f"{k} IS NOT NULL" for k in on)), delay)
-        .groupBy(F.window("ts", slot).alias("_w"), *keys)
-        .agg(
-            F.count("*").alias("n_logs"),
-            F.count_if(F.col("level") <= ERROR_LEVEL).alias("n_errors"),
-            F.min("level").alias("worst_level"),
+    before_us, after_us, slot_us = width_us(before), width_us(after), width_us(slot)
+    error = F.col("level") <= ERROR_LEVEL
+    known = logs.filter(" AND ".join(f"{k} IS NOT NULL" for k in on))
+    told, named = [F.col(k).alias(f"_k_{k}") for k in keys], [f"_k_{k}" for k in keys]
+
+    # In every join the time of the event is the one that goes on; that of the log side only bounds the state.
+    left = _marked(events, delay)
+    us = F.unix_micros("ts")
+    first, last = F.floor((us - before_us) / slot_us), F.floor((us + after_us) / slot_us)
+    full_first, full_last = F.ceil((us - before_us) / slot_us), F.floor((us + after_us + 1) / slot_us) - 1
+    edges = F.array_distinct(F.filter(F.array(first, last), lambda s: (s < full_first) | (s > full_last)))
+    full = F.when(full_last >= full_first, F.sequence(full_first, full_last)).otherwise(F.array().cast("array<bigint>"))
+    columns = events.columns
+
+    right = _marked(known.select(*told, "ts", "level"), delay)
+    single = right.select(
+        *named, F.col("ts").alias("_at"), F.floor(F.unix_micros("ts") / slot_us).alias("_slot_b"),
+        F.lit(1).cast("bigint").alias("_n"), error.cast("bigint").alias("_e"), F.col("level").alias("_w"),
+    )
+    # A slot's window begins at a multiple of its length since the epoch, as the slots of an event do.
+    summed = (
+        right.groupBy(F.window("ts", slot).alias("_win"), *named)
+        .agg(F.count("*").alias("_n"), F.count_if(error).alias("_e"), F.min("level").alias("_w"))
+        .select(
+            *named, F.window_time("_win").alias("_at"), F.floor(F.unix_micros("_win.start") / slot_us).alias("_slot_b"),
+            "_n", "_e", "_w",
         )
-        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_w", F.window_time("_w").alias("_at"), "n_logs", "n_errors", "worst_level")
+    )
+
+    def met(slots: Column, side: DataFrame) -> DataFrame:
+        spread = left.withColumn("_slot_a", F.explode(slots))
+        condition = F.col("_slot_a") == F.col("_slot_b")
+        for k in keys:
+            condition = condition & (F.col(k) == F.col(f"_k_{k}"))
+        low, high = (F.expr(f"INTERVAL {w} MICROSECONDS") for w in (before_us, after_us))
+        condition = condition & (F.col("_at") >= F.col("ts") - low) & (F.col("_at") <= F.col("ts") + high)
+        return spread.join(side, condition, "inner").select(*columns, "_n", "_e", "_w", F.lit(0).cast("bigint").alias("_own"))
+
+    none = F.lit(0).cast("bigint")
+    own = left.select(
+        *columns, none.alias("_n"), none.alias("_e"), F.lit(None).cast(logs.schema["level"].dataType).alias("_w"),
+        F.lit(1).cast("bigint").alias("_own"),
+    )
+    every = own.unionByName(met(full, summed)).unionByName(met(edges, single))
+    grouped = every.groupBy(*columns).agg(
+        F.sum("_n").alias("_n"), F.sum("_e").alias("_e"), F.min("_w").alias("worst_level"), F.sum("_own").alias("_own")
     )
-    left = _marked(events, delay)
-    same = [F.col(k) == F.col(f"_k_{k}") for k in keys]
-    # window_time is the last microsecond of a slot; its start is `slot` before the window's end.
-    start = F.col("_at") + F.expr("INTERVAL 1 microsecond") - F.expr(f"INTERVAL {slot}")
-    in_range = [
-        start >= F.col("ts") - F.expr(f"INTERVAL {before}"),
-        start <= F.col("ts") + F.expr(f"INTERVAL {after}"),
-    ]
-    condition = same[0]
-    for part in [*same[1:], *in_range]:
-        condition = condition & part
-    return left.join(slots, condition, "inner").select(
-        *events.columns, F.col("_w.start").alias("slot_start"), "n_logs", "n_errors", "worst_level"
+    # Equal events met everything as often as there are of them.
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), "_own"))
+    return grouped.filter("_own > 0").withColumn("_copy", copies).select(
+        *columns, F.expr("_n DIV _own").alias("n_logs"), F.expr("_e DIV _own").alias("n_errors"), "worst_level"
     )
 
 

@@ -126,13 +126,12 @@ def _(t):
     )
 
 
-@query(
-    "logs_near_event",
-    """SELECT e.seq, COUNT(l.seq) AS n_logs, COUNT(l.seq) FILTER (l.level <= 3) AS n_errors, MIN(l.level) AS worst_level
+LOGS_NEAR_EVENT_SQL = """SELECT e.seq, COUNT(l.seq) AS n_logs, COUNT(l.seq) FILTER (l.level <= 3) AS n_errors, MIN(l.level) AS worst_level
        FROM fx_track e LEFT JOIN fx_log l ON e.session_id = l.session_id
-         AND l.ts >= e.ts - INTERVAL 4 HOUR AND l.ts <= e.ts + INTERVAL 30 MINUTE GROUP BY e.seq""",
-    "fx_track fx_log",
-)
+         AND l.ts >= e.ts - INTERVAL 4 HOUR AND l.ts <= e.ts + INTERVAL 30 MINUTE GROUP BY e.seq"""
+
+
+@query("logs_near_event", LOGS_NEAR_EVENT_SQL, "fx_track fx_log")
 def _(t):
     near = op.logs_near_event(t.view("fx_track"), t.view("fx_log"), "4 hours", "30 minutes")
     return near.select("seq", "n_logs", "n_errors", "worst_level")

@@ -24,7 +24,7 @@ from signalyard.streaming import (
 from workloads.aggregates import _STEPS_SQL
 from workloads.behaviors import GAP_SESSIONS_SQL
 from workloads.deliveries import _LANDED_SQL, event_signals, landed_summary
-from workloads.joins import SUPER_PROPS_SQL, changes_of
+from workloads.joins import LOGS_NEAR_EVENT_SQL, SUPER_PROPS_SQL, changes_of
 from workloads.registry import num, query, us
 
 
@@ -167,25 +167,18 @@ def _(t):
     return merged.select("seq", "p0", "p1", "p2", "user_id")
 
 
-@query(
-    "join_streams",
-    """, s AS (SELECT session_id, time_bucket(INTERVAL 10 MINUTE, ts) AS slot, COUNT(*) AS n_logs, min(level) AS worst_level
-         FROM fx_log GROUP BY 1, 2)
-       SELECT e.seq, epoch_us(s.slot) AS slot_us, s.n_logs, s.worst_level FROM fx_track e JOIN s USING (session_id)
-       WHERE s.slot >= e.ts - INTERVAL 2 HOUR AND s.slot <= e.ts + INTERVAL 1 HOUR""",
-    "fx_track fx_log",
-)
+@query("join_streams", LOGS_NEAR_EVENT_SQL, "fx_track fx_log")
 def _(t):
     events = t.view("fx_track").select("seq", "ts", "session_id")
     logs = t.view("fx_log").select("ts", "session_id", "level")
-    # A row far ahead moves the watermark past the data, so that every window closes.
+    # A row far ahead moves the watermark past the data, so that every event is done.
     ahead = F.expr("TIMESTAMP '2030-01-01'").alias("ts")
     last_event = t.spark.range(1).select(F.lit(-1).cast("bigint").alias("seq"), ahead, F.lit("end").alias("session_id"))
     last_log = t.spark.range(1).select(ahead, F.lit("other").alias("session_id"), F.lit(8).alias("level"))
     joined = join_streams(
-        replay(t, events, last_event), replay(t, logs, last_log), "2 hours", "1 hour", "10 minutes", "1 hour"
+        replay(t, events, last_event), replay(t, logs, last_log), "4 hours", "30 minutes", "20 minutes", "1 hour"
     )
-    return drain(t, joined).select("seq", us("slot_start").alias("slot_us"), "n_logs", "worst_level")
+    return drain(t, joined).filter("seq >= 0").select("seq", "n_logs", "n_errors", "worst_level")
 
 
 @query(
