@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import time
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -63,3 +64,36 @@ def rows_of():
         return sorted((tuple(r) for r in picked.collect()), key=repr)
 
     return collect
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    """``feed(df, df, ...)``: one file and one micro-batch per table."""
+    count = iter(range(100))
+
+    def make(*parts):
+        path = str(tmp_path / f"feed{next(count)}")
+        for part in parts:
+            part.coalesce(1).write.mode("append").parquet(path)
+            time.sleep(0.01)
+        return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+    return make
+
+
+@pytest.fixture
+def drain(spark, tmp_path):
+    count = iter(range(100))
+
+    def run(stream, mode="append"):
+        path = str(tmp_path / f"out{next(count)}")
+
+        def write(batch, batch_id):
+            batch.write.mode("overwrite").parquet(f"{path}/t/flush={batch_id}")
+
+        query = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{path}/c")
+        query = query.trigger(availableNow=True).start()
+        assert query.awaitTermination(120), "the stream did not end"
+        return spark.read.parquet(f"{path}/t")
+
+    return run
