@@ -50,6 +50,7 @@ from signalyard.operators.histograms import (
     sorted_buckets,
 )
 from signalyard.operators.identity import apply_identity, resolve_identities
+from signalyard.operators.identity_store import IdentityStore
 from signalyard.operators.joins import (
     asof_group,
     asof_profile,
@@ -140,7 +141,7 @@ from signalyard.operators.validation import (
 )
 
 __all__ = [name for name in dir() if not name.startswith("_") and name not in (
-    "behavior", "delivery", "events", "filters", "histograms", "identity", "joins", "keys", "logs",
+    "behavior", "delivery", "events", "filters", "histograms", "identity", "identity_store", "joins", "keys", "logs",
     "metrics", "ordering", "payloads", "profiles", "quality", "revenue", "sessions", "sets",
     "stamping", "validation",
 )]

