@@ -51,12 +51,15 @@ class IdentityStore:
             .select(*scope, F.col("previous_id").cast("string").alias("a"), F.col("user_id").cast("string").alias("b"))
             .distinct()
         )
+        version = self._table.newest() + 1
+        if version == 1:  # nothing to be joined with
+            pairs = links.select(*scope, F.col("a").alias("previous_id"), F.col("b").alias("user_id"))
+            return self._write(version, durable(resolve_identities(pairs)), note)
         ends = durable(
             links.select(*scope, F.col("a").alias("user_id"))
             .unionByName(links.select(*scope, F.col("b").alias("user_id")))
             .distinct()
         )
-        version = self._table.newest() + 1
         seen = self._rows("by_user", buckets=self._table.touched(ends, *scope, "user_id"))
         seen = seen.join(ends, [*scope, "user_id"], "left_semi")
         roots = durable(seen.groupBy(*scope, "user_id").agg(F.min("canonical_id").alias("root")))
@@ -79,8 +82,9 @@ class IdentityStore:
         moved = lookup(members, fallen, [*scope, "root"], "inner").select(*scope, "user_id", F.col("new").alias("canonical_id"))
         fresh = ends.join(roots.select(*scope, "user_id"), [*scope, "user_id"], "left_anti")
         placed = fresh.join(joined, [*scope, "user_id"]).select(*scope, "user_id", "canonical_id")
-        changed = durable(moved.unionByName(placed).distinct())
-        self._table.add(
-            version, {"by_user": (changed, [*scope, "user_id"]), "by_root": (changed, [*scope, "canonical_id"])}, note
-        )
+        return self._write(version, durable(moved.unionByName(placed).distinct()), note)
+
+    def _write(self, version: int, changed: DataFrame, note: str) -> int:
+        by_user, by_root = [*self._scope, "user_id"], [*self._scope, "canonical_id"]
+        self._table.add(version, {"by_user": (changed, by_user), "by_root": (changed, by_root)}, note)
         return version
