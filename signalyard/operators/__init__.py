@@ -139,9 +139,10 @@ from signalyard.operators.validation import (
     validate_track,
     validation_report,
 )
+from signalyard.operators.validity import ValidityTable
 
 __all__ = [name for name in dir() if not name.startswith("_") and name not in (
     "behavior", "delivery", "events", "filters", "histograms", "identity", "identity_store", "joins", "keys", "logs",
     "metrics", "ordering", "payloads", "profiles", "quality", "revenue", "sessions", "sets",
-    "stamping", "validation",
+    "stamping", "validation", "validity",
 )]

@@ -3,7 +3,7 @@
 Stateless operators (payloads, stamping, validation, filters, unpacking) run on streams unchanged.
 """
 
-from signalyard.streaming.flows import IntakeListener, bounded_intake, late_split, route_stream
+from signalyard.streaming.flows import IntakeListener, bounded_intake, enrich_asof_stream, late_split, route_stream
 from signalyard.streaming.stateful import counter_stream, super_props_stream
 from signalyard.streaming.windows import (
     dedupe_stream,
@@ -20,6 +20,7 @@ __all__ = [
     "bounded_intake",
     "counter_stream",
     "dedupe_stream",
+    "enrich_asof_stream",
     "enrich_stream",
     "join_streams",
     "late_split",

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from signalyard.operators.delivery import route_by_schema, unpack_batches
 from signalyard.operators.validation import split_valid, validate_signals
+from signalyard.operators.validity import ValidityTable
 from signalyard.schemas import signal_schema
 from signalyard.sources.files import stream_signals
 from signalyard.sources.sinks import write_signals
@@ -95,6 +96,46 @@ def late_split(df: DataFrame, path: str, checkpoint: str, delay: str, trigger: s
     return _run(df, step, checkpoint, trigger)
 
 
+def enrich_asof_stream(
+    events: DataFrame, changes: DataFrame, table: ValidityTable, path: str, checkpoint: str, delay: str, trigger: str | None = None
+) -> StreamingQuery:
+    """Events with the values of their key that were valid at their time, to ``path/out``; the stream form of ``asof_profile``.
+
+    ``events`` has the table's keys, ts and seq; ``changes`` also its values. Each micro-batch adds its changes to ``table`` as a
+    version, then lets go the events that are older than the newest time seen on either stream by ``delay`` or more; the rest
+    is held in ``path/held``. So a change counts for every event at or after its time if it comes at most ``delay`` late,
+    and changes of the table never rewrite what an earlier event had. Later changes still get into the table.
+    Folders and versions are per micro-batch, so a repeat writes the same again. An event without a time has no values.
+    """
+    empty = {n: F.lit(None).cast(df.select(F.struct(*df.columns)).schema[0].dataType) for n, df in (("event", events), ("change", changes))}
+    both = events.select(F.struct(*events.columns).alias("event"), empty["change"].alias("change")).unionByName(
+        changes.select(empty["event"].alias("event"), F.struct(*changes.columns).alias("change"))
+    )
+    schema = events.schema
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.persist()
+        try:
+            version = table.fold(rows.filter("change IS NOT NULL").select("change.*"), batch_id + 1)
+            held = rows.filter("event IS NOT NULL").select("event.*")
+            seen = None
+            if batch_id > 0:
+                held = held.unionByName(spark.read.schema(schema).parquet(f"{path}/held/flush={batch_id - 1}"))
+                seen = spark.read.parquet(f"{path}/marks/flush={batch_id - 1}").first()["mark"]
+            newest = rows.agg(F.max(F.coalesce("event.ts", "change.ts")).alias("mark")).first()["mark"]
+            mark = max((t for t in (seen, newest) if t is not None), default=None)
+            waits = F.coalesce(F.col("ts") > F.lit(mark) - F.expr(f"INTERVAL {delay}"), F.lit(False))
+            table.at_time(held.filter(~waits), version=version).write.mode("overwrite").parquet(f"{path}/out/flush={batch_id}")
+            held.filter(waits).write.mode("overwrite").parquet(f"{path}/held/flush={batch_id}")
+            marks = spark.range(1).select(F.lit(mark).cast("timestamp").alias("mark"))
+            marks.write.mode("overwrite").parquet(f"{path}/marks/flush={batch_id}")
+        finally:
+            rows.unpersist()
+
+    return _run(both, step, checkpoint, trigger)
+
+
 def _without_tenant(batches: DataFrame) -> Column:
     """The signals of an envelope without the tenant's key: it is a credential and stays out of side tables."""
     if "tenant" not in batches.schema["data"].dataType.elementType.fieldNames():

@@ -11,6 +11,7 @@ from signalyard.streaming import (
     bounded_intake,
     counter_stream,
     dedupe_stream,
+    enrich_asof_stream,
     enrich_stream,
     join_streams,
     late_split,
@@ -192,6 +193,32 @@ def _(t):
     return drain(t, enrich_stream(t.stream_view("fx_track"), plans, ["user_id"])).select("seq", "plan")
 
 
+@query(
+    "enrich_asof_stream",
+    """SELECT e.seq, i.plan AS profile_plan, CAST(i.k AS INT) AS profile_k FROM fx_track e
+       ASOF LEFT JOIN fx_identify i ON e.user_id = i.user_id AND e.ts >= i.ts""",
+    "fx_track fx_identify",
+)
+def _(t):
+    events = t.view("fx_track").select("seq", "ts", "user_id")
+    changes = t.view("fx_identify").select("seq", "ts", "user_id", "plan", "k")
+    # Three micro-batches by time, every fifth change a day late; a last row far ahead lets all events go.
+    edges = ("2024-01-01", "2024-01-11", "2024-01-21", "2025-01-01")
+    arrives = F.when(F.col("seq") % 5 == 0, F.expr("ts + INTERVAL 1 DAY")).otherwise(F.col("ts"))
+    spans = [(F.lit(a).cast("timestamp"), F.lit(b).cast("timestamp")) for a, b in zip(edges, edges[1:], strict=False)]
+    end = t.spark.range(1).select(F.lit(-1).cast("bigint").alias("seq"), F.expr("TIMESTAMP '2030-01-01'").alias("ts"), F.lit("end").alias("user_id"))
+    table = op.ValidityTable(t.spark, t.scratch(), {"user_id": "string"}, {"plan": "string", "k": "int"}, buckets=8)
+    path = t.scratch()
+    run = enrich_asof_stream(
+        replay(t, *[events.filter((F.col("ts") >= a) & (F.col("ts") < b)) for a, b in spans], end),
+        replay(t, *[changes.filter((arrives >= a) & (arrives < b)) for a, b in spans]),
+        table, path, f"{path}/checkpoint", "2 days",
+    )
+    run.awaitTermination()
+    out = t.spark.read.parquet(f"{path}/out").filter("seq >= 0")
+    return out.select("seq", F.col("plan").alias("profile_plan"), F.col("k").alias("profile_k"))
+
+
 @query(
     "route_stream",
     """SELECT 'event' AS sink, COUNT(*) AS n FROM fx_bad WHERE user_id <> '' AND event_name <> '' AND strlen(event_name) <= 256
