@@ -109,6 +109,17 @@ from signalyard.operators.sessions import (
     sessionize_reset,
 )
 from signalyard.operators.sets import mixed_metrics, unified_timeline, users_in_both, users_lost
+from signalyard.operators.sketches import (
+    compare_periods,
+    estimated_users,
+    merge_user_sketches,
+    merge_value_sketches,
+    rank_error,
+    sketched_quantiles,
+    user_bound,
+    user_sketches,
+    value_sketches,
+)
 from signalyard.operators.stamping import (
     decode_enums,
     decode_tenant_key,
@@ -143,6 +154,6 @@ from signalyard.operators.validity import ValidityTable
 
 __all__ = [name for name in dir() if not name.startswith("_") and name not in (
     "behavior", "delivery", "events", "filters", "histograms", "identity", "identity_store", "joins", "keys", "logs",
-    "metrics", "ordering", "payloads", "profiles", "quality", "revenue", "sessions", "sets",
+    "metrics", "ordering", "payloads", "profiles", "quality", "revenue", "sessions", "sets", "sketches",
     "stamping", "validation", "validity",
 )]

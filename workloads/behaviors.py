@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from signalyard import operators as op
+from signalyard.session import durable
 from workloads.registry import big, day_text, num, query, us
 
 # --- sessions and sequences ---------------------------------------------------------------------------
@@ -326,3 +327,51 @@ def _(t):
     hist = histograms(t).withColumns({"metric_type": F.lit("histogram"), "value": F.lit(0.0)})
     rows = op.mixed_metrics(gauge, counter, hist)
     return rows.groupBy("metric_type", "name").agg(F.count("*").alias("n"), num(F.sum("value"), 2).alias("total"))
+
+
+@query(
+    "sketched_periods",
+    """, days AS (SELECT DISTINCT date_trunc('day', ts) AS day, user_id FROM fx_track),
+         both AS (SELECT a.day, COUNT(*) AS n FROM days a JOIN days b USING (user_id) WHERE b.day = a.day + INTERVAL 1 DAY GROUP BY a.day),
+         sizes AS (SELECT day, COUNT(*) AS n FROM days GROUP BY day)
+       SELECT strftime(a.day, '%Y-%m-%d') AS day, COALESCE(both.n, 0) AS n_both, a.n - COALESCE(both.n, 0) AS n_lost,
+         b.n - COALESCE(both.n, 0) AS n_gained, TRUE AS sketch_holds
+       FROM sizes a JOIN sizes b ON b.day = a.day + INTERVAL 1 DAY LEFT JOIN both ON both.day = a.day""",
+    "fx_track",
+)
+def _(t):
+    events = t.view("fx_track")
+    sketched = op.compare_periods(durable(op.user_sketches(events)))
+    # The exact counts, from the events themselves, and whether the stored sketches stay within their bound of them.
+    days = events.select(F.date_trunc("day", "ts").alias("period"), "user_id").distinct()
+    after = days.select((F.col("period") - F.expr("INTERVAL 1 DAY")).alias("period"), "user_id", F.lit(1).alias("_after"))
+    here = days.withColumn("_here", F.lit(1)).join(after, ["period", "user_id"], "full_outer")
+    counts = {
+        "n_both": F.count_if(F.expr("_here = 1 AND _after = 1")), "n_lost": F.count_if(F.expr("_here = 1 AND _after IS NULL")),
+        "n_gained": F.count_if(F.expr("_here IS NULL AND _after = 1")),
+    }
+    exact = here.groupBy("period").agg(*[c.alias(f"x_{n}") for n, c in counts.items()])
+    near = [F.abs(F.col(n) - F.col(f"x_{n}")) <= F.col("bound") for n in counts]
+    joined = sketched.join(exact, "period")
+    return joined.select(
+        day_text("period").alias("day"), *[F.col(f"x_{n}").alias(n) for n in counts], (near[0] & near[1] & near[2]).alias("sketch_holds")
+    )
+
+
+@query(
+    "sketched_quantiles",
+    """SELECT event_name, strftime(date_trunc('month', ts), '%Y-%m') AS month, COUNT(value) AS n, TRUE AS p50_holds, TRUE AS p95_holds
+       FROM fx_track GROUP BY 1, 2 HAVING COUNT(value) > 0""",
+    "fx_track",
+)
+def _(t):
+    events = t.view("fx_track")
+    days = durable(op.value_sketches(events, by=["event_name"]))
+    months = durable(op.sketched_quantiles(op.merge_value_sketches(days, by=["event_name"]), (0.5, 0.95)))
+    values = events.filter("value IS NOT NULL").select("event_name", F.date_trunc("month", "ts").alias("period"), "value")
+    keys = ["event_name", "period"]
+    out = months
+    for column, rank in (("p50", 0.5), ("p95", 0.95)):
+        off = op.rank_error(values, months, keys, column, rank)
+        out = out.join(off.select(*keys, (F.col("rank_error") <= 0.03).alias(f"{column}_holds")), keys)
+    return out.select("event_name", F.date_format("period", "yyyy-MM").alias("month"), "n", "p50_holds", "p95_holds")
