@@ -326,7 +326,7 @@ def match_benchmark(
     ``begins``/``ends`` are the merged removal spans in words; n_hit counts the words inside; ``contaminated`` is
     n_hit > 0 and 20 * n_hit >= n_words. A word lies in no span that crosses documents. A null or empty text has no
     words and no matches; items without words and items without an id ask nothing; an item that repeats counts once;
-    an empty ``items`` matches nothing. A column of the same name in ``docs`` is replaced.
+    an empty ``items`` matches nothing. A column of ``docs`` with such a name, in any case, is replaced.
 
     Benchmark windows are read into one block per ``pass_bytes`` of item text (counted, not estimated), so what is
     sent to the tasks is bounded; with more blocks the documents are read once per block and spans are merged
@@ -359,4 +359,4 @@ def match_benchmark(
             F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["e"] - s["b"]).alias("n_hit"),
         )
     judged = found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
-    return judged.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in added], *added)
+    return judged.select(*[F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in added], *added)

@@ -147,7 +147,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     """Every row of ``docs`` with its text cut to the lines that stay, joined by newlines; n_lines and n_dropped added.
 
     n_lines counts before dropping; a null or empty text is one empty line and comes back as an empty text. Other columns
-    stay as they are (one called n_lines or n_dropped is replaced); the columns' order stays.
+    stay as they are (one called n_lines or n_dropped, in any case, is replaced); the columns' order stays.
     """
     bitmaps = keep_bitmaps(docs, min_chars, min_docs).select(
         F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key"), "keep"
@@ -175,5 +175,5 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
 
     done = joined.mapInArrow(apply, ddl)
     added = ["n_lines", "n_dropped"]
-    kept = [F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in added]
+    kept = [F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in added]
     return done.select(*kept, *added)

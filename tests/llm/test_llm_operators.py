@@ -435,3 +435,27 @@ def test_pipeline_pieces_against_windows_and_library(spark):
             assert start == at
             at += length
         assert at == total or total is None and at <= 2048
+
+
+ADDED = ["Kept", "n_words", "N_Lines", "n_dropped", "Contaminated", "item_ids", "BEGINS", "class_id", "text_key", "row", "words", "_doc_id", "keep"]
+
+
+def test_pipeline_keeps_columns_whatever_they_are_called(spark):
+    """Every stage returns the columns of its input as they are, also where an operator adds one of that name in another case."""
+    rows = [(i, t, *[f"{c}{i}" for c in ADDED]) for i, t in ROWS]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {', '.join(f'{c} string' for c in ADDED)}").repartition(3)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, FOLDER)
+        assert got.columns == ["doc_id", "text", *ADDED], name
+        for r in got.collect():
+            assert tuple(r)[2:] == tuple(f"{c}{r['doc_id']}" for c in ADDED), name
+    name, stage = corpus_pipeline.STAGES[-1]
+    assert stage(spark, docs, FOLDER).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
+def test_pipeline_of_nothing_and_of_nulls(spark, tmp_path):
+    for name, rows in (("none", []), ("nulls", [(None, None), (1, None), (2, ""), (2, "")])):
+        folder = tmp_path / name
+        spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(folder / "documents.parquet"))
+        spark.createDataFrame([], "item_id long, text string").write.parquet(str(folder / "benchmark.parquet"))
+        assert corpus_pipeline.run(spark, str(folder)).count() == 0
