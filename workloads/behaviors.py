@@ -332,11 +332,11 @@ def _(t):
 @query(
     "sketched_periods",
     """, days AS (SELECT DISTINCT date_trunc('day', ts) AS day, user_id FROM fx_track),
-         both AS (SELECT a.day, COUNT(*) AS n FROM days a JOIN days b USING (user_id) WHERE b.day = a.day + INTERVAL 1 DAY GROUP BY a.day),
+         stay AS (SELECT a.day, COUNT(*) AS n FROM days a JOIN days b USING (user_id) WHERE b.day = a.day + INTERVAL 1 DAY GROUP BY a.day),
          sizes AS (SELECT day, COUNT(*) AS n FROM days GROUP BY day)
-       SELECT strftime(a.day, '%Y-%m-%d') AS day, COALESCE(both.n, 0) AS n_both, a.n - COALESCE(both.n, 0) AS n_lost,
-         b.n - COALESCE(both.n, 0) AS n_gained, TRUE AS sketch_holds
-       FROM sizes a JOIN sizes b ON b.day = a.day + INTERVAL 1 DAY LEFT JOIN both ON both.day = a.day""",
+       SELECT strftime(a.day, '%Y-%m-%d') AS day, COALESCE(stay.n, 0) AS n_both, a.n - COALESCE(stay.n, 0) AS n_lost,
+         b.n - COALESCE(stay.n, 0) AS n_gained, TRUE AS sketch_holds
+       FROM sizes a JOIN sizes b ON b.day = a.day + INTERVAL 1 DAY LEFT JOIN stay ON stay.day = a.day""",
     "fx_track",
 )
 def _(t):
