@@ -66,6 +66,7 @@ from signalyard.operators.joins import (
     users_without,
 )
 from signalyard.operators.logs import error_rate, log_counts
+from signalyard.operators.maintained import DailyCounts, DailyRevenue
 from signalyard.operators.metrics import (
     counter_increase,
     counter_normalize,

@@ -566,23 +566,35 @@ def _(t):
 
 # --- properties -------------------------------------------------------------------------------------------
 
-_PROPS = """, p AS (SELECT event_name, 'k' AS key, CAST(k AS VARCHAR) AS value, 'number' AS t FROM fx_track
-      UNION ALL SELECT event_name, 'user_id', user_id, 'string' FROM fx_track),
+# Payloads with a key that is missing in a fifth of the rows and has three types, and with one of two other keys.
+_PROPS = """, p AS (SELECT event_name, 'k' AS key, CASE k % 3 WHEN 0 THEN 'x' WHEN 1 THEN CAST(k AS VARCHAR) ELSE 'true' END AS value,
+        CASE k % 3 WHEN 0 THEN 'string' WHEN 1 THEN 'number' ELSE 'boolean' END AS t FROM fx_track WHERE k % 5 <> 0
+      UNION ALL SELECT event_name, CASE WHEN k % 2 = 0 THEN 'even' ELSE 'odd' END, CASE WHEN k % 2 = 0 THEN '[1]' ELSE '[]' END, 'array'
+        FROM fx_track),
+    f AS (SELECT event_name, key, COUNT(*) AS n_filled, string_agg(DISTINCT t, ',' ORDER BY t) AS json_types FROM p GROUP BY ALL),
+    a AS (SELECT event_name, COUNT(*) AS n_rows FROM fx_track GROUP BY 1),
     c AS (SELECT event_name, key, value, COUNT(*) AS c FROM p GROUP BY ALL),
     r AS (SELECT *, row_number() OVER (PARTITION BY event_name, key ORDER BY c DESC, value) AS rn FROM c)"""
 
 
+def mixed_payloads(t):
+    k = F.when(F.col("k") % 3 == 0, '"x"').when(F.col("k") % 3 == 1, F.col("k").cast("string")).otherwise("true")
+    first = F.when(F.col("k") % 5 != 0, F.concat(F.lit('"k":'), k, F.lit(",")))
+    second = F.when(F.col("k") % 2 == 0, '"even":[1]}').otherwise('"odd":[]}')
+    payload = F.concat(F.lit("{"), F.coalesce(first, F.lit("")), second)
+    return t.view("fx_track").select("event_name", payload.alias("payload"))
+
+
 @query(
     "prop_stats",
     _PROPS
-    + """ SELECT event_name, key, CAST(sum(c) AS BIGINT) AS n_filled, CAST(1 AS DOUBLE) AS fill_rate, COUNT(*) AS n_distinct,
-      CASE key WHEN 'k' THEN 'number' ELSE 'string' END AS json_types,
+    + """ SELECT event_name, key, n_filled, n_filled / n_rows AS fill_rate, COUNT(*) AS n_distinct, json_types,
       max(CASE WHEN rn = 1 THEN value END) AS top_value, max(CASE WHEN rn = 1 THEN c END) AS top_n
-      FROM r GROUP BY event_name, key""",
+      FROM r JOIN f USING (event_name, key) JOIN a USING (event_name) GROUP BY ALL""",
     "fx_track",
 )
 def _(t):
-    rows = op.prop_stats(op.track_payload(t.view("fx_track")))
+    rows = op.prop_stats(mixed_payloads(t))
     return rows.select(
         "event_name", "key", "n_filled", "fill_rate", "n_distinct", F.array_join("json_types", ",").alias("json_types"),
         F.col("top_values")[0]["value"].alias("top_value"), F.col("top_values")[0]["n"].alias("top_n"),
@@ -591,12 +603,18 @@ def _(t):
 
 @query(
     "distinct_props",
-    "SELECT event_name, 'k,user_id' AS keys, 'OBJECT<k: BIGINT, user_id: STRING>' AS schema FROM fx_track GROUP BY 1",
+    """, p AS (SELECT DISTINCT event_name, concat('p', k % 9) AS key, CASE WHEN k % 9 < 4 THEN 'BIGINT' ELSE 'STRING' END AS t
+         FROM fx_track WHERE (k + length(event_name)) % 3 <> 0)
+       SELECT event_name, string_agg(key, ',' ORDER BY key) AS keys,
+         concat('OBJECT<', string_agg(concat(key, ': ', t), ', ' ORDER BY key), '>') AS schema FROM p GROUP BY 1""",
     "fx_track",
 )
 def _(t):
-    rows = op.distinct_props(op.track_payload(t.view("fx_track")))
-    return rows.select("event_name", F.array_join("keys", ",").alias("keys"), "schema")
+    rows = t.view("fx_track").filter((F.col("k") + F.length("event_name")) % 3 != 0)
+    value = F.when(F.col("k") % 9 < 4, F.col("k").cast("string")).otherwise(F.concat(F.lit('"v'), "k", F.lit('"')))
+    payload = F.concat(F.lit('{"p'), F.col("k") % 9, F.lit('":'), value, F.lit("}"))
+    found = op.distinct_props(rows.select("event_name", payload.alias("payload")))
+    return found.select("event_name", F.array_join("keys", ",").alias("keys"), "schema")
 
 
 @query(
@@ -607,11 +625,7 @@ def _(t):
     "fx_track",
 )
 def _(t):
-    k = F.when(F.col("k") % 3 == 0, '"x"').when(F.col("k") % 3 == 1, F.col("k").cast("string")).otherwise("true")
-    first = F.when(F.col("k") % 5 != 0, F.concat(F.lit('"k":'), k, F.lit(",")))
-    second = F.when(F.col("k") % 2 == 0, '"even":[1]}').otherwise('"odd":[]}')
-    payload = F.concat(F.lit("{"), F.coalesce(first, F.lit("")), second)
-    return op.property_registry(t.view("fx_track").select("event_name", payload.alias("payload")))
+    return op.property_registry(mixed_payloads(t))
 
 
 @query(
@@ -626,3 +640,37 @@ def _(t):
         F.regexp_extract("url", "^https?://([^/]+)", 1).alias("event_name"), F.to_json(F.struct("url")).alias("payload")
     )
     return op.prop_stats(rows).select("event_name", "key", "n_filled", "n_distinct")
+
+
+# --- totals kept up batch by batch ------------------------------------------------------------------------
+
+
+@query("event_counts_maintained", "SELECT event_name, strftime(ts, '%Y-%m-%d') AS day, COUNT(*) AS n FROM fx_track GROUP BY ALL", "fx_track")
+def _(t):
+    """Two batches; the second also has rows of the first again, after up to thirty days."""
+    events = t.view("fx_track").select("seq", "ts", "event_name", "k")
+    table = op.DailyCounts(t.spark, t.scratch(), {"event_name": "string"}, buckets=8)
+    table.fold(events.filter("k % 3 <> 0"))
+    table.fold(events.filter("k % 3 = 0").unionByName(events.filter("k % 2 = 0")))
+    return table.counts().select("event_name", day_text("day").alias("day"), "n")
+
+
+@query(
+    "revenue_maintained",
+    """, b AS (SELECT order_id, sum(amount) AS refunded FROM fx_refund GROUP BY 1)
+       SELECT strftime(r.ts, '%Y-%m-%d') AS day, currency, COUNT(*) AS orders, round(sum(amount), 3) AS gross,
+         round(sum(COALESCE(refunded, 0)), 3) AS refunded, round(sum(amount - COALESCE(refunded, 0)), 3) AS net
+       FROM fx_revenue r LEFT JOIN b USING (order_id) GROUP BY ALL""",
+    "fx_revenue fx_refund",
+)
+def _(t):
+    """Some orders come first with a later time and another amount, and refunds come before, with and after their orders."""
+    orders = t.view("fx_revenue").select("order_id", "ts", "seq", "amount", "currency", "k")
+    refunds = t.view("fx_refund")
+    table = op.DailyRevenue(t.spark, t.scratch(), seq="bigint", buckets=8)
+    wrong = orders.filter("k % 4 = 0").selectExpr("order_id", "ts + INTERVAL 3 DAYS AS ts", "seq", "amount + 1 AS amount", "currency", "k")
+    table.fold(wrong.unionByName(orders.filter("k % 4 = 1")), refunds.filter("seq % 3 < 2"), ["seq", "ts"])
+    table.fold(orders.filter("k % 4 <> 1"), refunds.filter("seq % 3 > 0"), ["seq", "ts"])
+    table.fold(orders.filter("k % 5 = 0"), refunds, ["seq", "ts"])
+    kept = table.totals()
+    return kept.select(day_text("day").alias("day"), "currency", big("orders").alias("orders"), *[num(c, 3).alias(c) for c in ("gross", "refunded", "net")])
