@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +20,8 @@ RUNTIME_CONF = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # All signal times are instants; keep day and week boundaries independent of the machine.
     "spark.sql.session.timeZone": "UTC",
+    # The default, 96 bits, has no least and greatest value in the footers, so a time range would skip no row group.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -75,14 +80,40 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_fallback[context.applicationId]
 
 
+# The tables that the innermost ``durable_scope`` has to remove.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+@contextmanager
+def durable_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that ``durable`` writes inside, at the end, also after an error.
+
+    Results are lazy: write or collect what is wanted before the scope ends. Scopes may lie in each other, each removes its own
+    tables; stored tables (versions, sinks) are never touched.
+    """
+    mine: list[str] = []
+    token = _written.set(mine)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in mine:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(hadoop).delete(place, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage, survives the loss of an executor, and freezes values that a recomputation
     could change (partition ids, sampled bounds). Parquet keeps column pruning and size
-    statistics for whatever comes next.
+    statistics for whatever comes next. The table stays until a ``durable_scope`` around it ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    mine = _written.get()
+    if mine is not None:
+        mine.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,5 +1,6 @@
 """Reading signals and writing them."""
 
+from signalyard.sources.clustered import write_clustered
 from signalyard.sources.files import MALFORMED, read_batches, read_signals, stream_batches, stream_signals
 from signalyard.sources.sinks import quarantine, stream_to_sink, write_signals
 
@@ -11,5 +12,6 @@ __all__ = [
     "stream_batches",
     "stream_signals",
     "stream_to_sink",
+    "write_clustered",
     "write_signals",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from signalyard import operators as op
-from signalyard.sources import quarantine, read_signals, write_signals
+from signalyard.sources import quarantine, read_signals, write_clustered, write_signals
 from workloads.registry import big, query
 
 _LANDED_SQL = "SELECT event_name, service, COUNT(*) AS n, CAST(sum(k) AS BIGINT) AS total_k FROM fx_track GROUP BY 1, 2"
@@ -82,6 +82,34 @@ def _(t):
     return landed.groupBy(day, "event_name").agg(F.count("*").alias("n"))
 
 
+@query(
+    "write_clustered",
+    """SELECT 'all' AS selection, COUNT(*) AS n, CAST(sum(k) AS BIGINT) AS total_k FROM fx_track
+       UNION ALL SELECT 'time', COUNT(*), CAST(sum(k) AS BIGINT) FROM fx_track
+         WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-12'
+       UNION ALL SELECT 'name', COUNT(*), CAST(sum(k) AS BIGINT) FROM fx_track WHERE event_name = 'Order Completed'
+       UNION ALL SELECT 'user', COUNT(*), CAST(sum(k) AS BIGINT) FROM fx_track WHERE user_id = 'u7'
+       UNION ALL SELECT 'service', COUNT(*), CAST(sum(k) AS BIGINT) FROM fx_track WHERE service = 'svc2'""",
+    "fx_track",
+)
+def _(t):
+    path = t.scratch()
+    write_clustered(t.view("fx_track"), path, ["service", "ts", "event_name", "user_id"], rows_per_file=2000)
+    landed = t.spark.read.parquet(path)
+    parts = {
+        "all": landed,
+        "time": op.where_signal(landed, start="2024-01-10", end="2024-01-12"),
+        "name": op.where_signal(landed, names=["Order Completed"]),
+        "user": landed.filter("user_id = 'u7'"),
+        "service": op.where_signal(landed, service="svc2"),
+    }
+    out = None
+    for name, part in parts.items():
+        row = part.agg(F.count("*").alias("n"), big(F.sum("k")).alias("total_k")).withColumn("selection", F.lit(name))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query(
     "quarantine",
     """SELECT 'userId' AS field, COUNT(*) AS n FROM fx_bad WHERE user_id = ''
