@@ -8,6 +8,7 @@ writes the same bytes under the same names.
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -105,15 +106,33 @@ class Roller:
 _MANIFEST = pa.schema([("path", pa.string()), ("n_records", pa.int64()), ("n_bytes", pa.int64()), ("sha1", pa.string())])
 
 
-def _shard(rows: DataFrame) -> Column:
-    """Number of the shard of a row of ``rows`` (page_id, size); a page_id lies in one shard, a null one in the first.
+def _place(bounds: list[int]) -> Column:
+    """How many of the sorted ``bounds`` lie below page_id (none, if it is null).
+
+    Looked up among the first ones of blocks, then inside one block, so the cost of a row is twice the root of their number.
+    """
+
+    def below(places: Column) -> Column:
+        return F.size(F.filter(places, lambda b: b < F.col("page_id")))
+
+    def listed(numbers: list[int]) -> Column:
+        return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<long>")
+
+    step = math.isqrt(len(bounds)) + 1
+    block = below(listed(bounds[::step]))
+    inside = F.slice(listed(bounds), (block - 1) * step + 1, F.lit(step))
+    return F.when(block == 0, 0).otherwise((block - 1) * step + below(inside))
+
+
+def _shard(rows: DataFrame) -> tuple[Column, int]:
+    """Number of the shard of a row of ``rows`` (page_id, size), and how many there are; a page_id lies in one shard, a null one in the first.
 
     The bounds cut the bytes of the page_ids of least hash evenly: the same rows give the same bounds, however they are dealt.
     """
     n_rows, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     shards = min(_MOST_SHARDS, -(-total // SHARD_BYTES))
     if shards <= 1:
-        return F.lit(0)
+        return F.lit(0), 1
     share = int(min(1.0, shards * _PER_SHARD / n_rows) * (1 << 30))
     chosen = rows.filter("page_id IS NOT NULL").filter(F.pmod(F.xxhash64("page_id"), F.lit(1 << 30)) < share)
     found = sorted((r["page_id"], r["size"]) for r in chosen.groupBy("page_id").agg(F.sum("size").alias("size")).collect())
@@ -123,9 +142,8 @@ def _shard(rows: DataFrame) -> Column:
         if before * shards // whole < upto * shards // whole:
             bounds.append(page_id)
     if not bounds:
-        return F.lit(0)
-    places = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<long>")
-    return F.size(F.filter(places, lambda b: b < F.col("page_id")))
+        return F.lit(0), 1
+    return _place(bounds), len(bounds) + 1
 
 
 def write_warc(
@@ -149,12 +167,12 @@ def write_warc(
     # A reference travels as a row of its own just before its page, so the payloads are shuffled once, for the order.
     references = ids.join(shared, "digest").select("page_id", "digest", "largest").distinct()
     none = F.lit(None).cast("string")
-    shard = _shard(rows.select("page_id", (F.octet_length("html").cast("long") + 1).alias("size")))
+    shard, shards = _shard(rows.select("page_id", (F.octet_length("html").cast("long") + 1).alias("size")))
     both = rows.select("page_id", "digest", F.lit(1).alias("kind"), "url", "html", F.lit(None).cast("long").alias("largest")).union(
         references.select("page_id", "digest", F.lit(0), none, none, "largest")
     )
-    # A task takes whole shards; which ones does not matter.
-    dealt = both.withColumn("shard", shard).repartitionByRange("shard")
+    # A task takes whole shards; which ones does not matter. There are as many tasks as shards, so a task does not grow with the table.
+    dealt = both.withColumn("shard", shard).repartitionByRange(shards, "shard")
     ordered = dealt.sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import random
 import re
@@ -116,6 +117,15 @@ def test_warc(spark, tmp_path):
     assert warc.read_warc(warc.write_warc(pages.limit(0), str(tmp_path / "c"))).count() == 0
 
 
+def test_warc_shards_are_found_in_blocks_of_bounds(spark):
+    draw = random.Random(3)
+    for n in (1, 2, 3, 10, 99, 1000):
+        bounds = sorted(draw.sample(range(-5000, 5000), n))
+        ids = [*bounds, *(b + 1 for b in bounds), bounds[0] - 1, bounds[-1] + 9]
+        rows = spark.createDataFrame([(i,) for i in ids] + [(None,)], "page_id long").withColumn("at", warc._place(bounds)).collect()
+        assert [r["at"] for r in rows] == [bisect.bisect_left(bounds, i) for i in ids] + [0]
+
+
 def test_warc_files_follow_from_the_pages_alone(spark, tmp_path, monkeypatch):
     """More rows than Spark samples for a range, dealt in two ways, give the same files."""
     monkeypatch.setattr(warc, "SHARD_BYTES", 40_000, raising=False)
