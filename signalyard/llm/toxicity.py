@@ -19,9 +19,10 @@ from signalyard.session import durable
 
 GRAMS = (4, 5, 6)
 BITS = 18
-# Labelled texts per class that the classifier is fitted on (those with the least hash of doc_id), and its features.
+# Labelled texts per class that the classifier is fitted on (those with the least hash of doc_id).
 SAMPLE_PER_CLASS = 3000
-FEATURES = 1024
+# Every n-gram whose presence depends on the class at this chi-square (one degree of freedom, 0.1 %) has a weight.
+SIGNIFICANT = 10.83
 THRESHOLD = 0.3
 
 # Lower case; ASCII other than letters and digits is a space.
@@ -74,9 +75,10 @@ def log_ratio(yes: np.ndarray, every: np.ndarray, n_yes: float, n: float) -> np.
 def fit(
     chosen: np.ndarray, ratio: np.ndarray, features: list[np.ndarray], toxic: np.ndarray, share: np.ndarray, steps: int = 300
 ) -> Model:
-    """Weigh the ``chosen`` features, scaled by ``ratio``, by a logistic regression.
+    """Weigh the ``chosen`` features, scaled by ``ratio``, by a logistic regression on sparse rows.
 
-    ``features``: which of them each text has; ``share``: how many labelled texts a text stands for.
+    ``features``: which of them each text has; ``share``: how many labelled texts a text stands for. Memory follows the
+    features that the texts have, not their number times that of the features.
     """
     n = len(features)
     if not n:
@@ -87,19 +89,21 @@ def fit(
         return Model(np.zeros(1 << BITS), float(np.log(prior / (1 - prior))))
     place = np.zeros(1 << BITS, np.int64)
     place[chosen] = np.arange(len(chosen))
-    x = np.zeros((n, len(chosen)), np.float32)
-    flat = place[np.concatenate(features)]
-    x[np.repeat(np.arange(n), [len(f) for f in features]), flat] = ratio[flat]
+    column = place[np.concatenate(features)]
+    row = np.repeat(np.arange(n), [len(f) for f in features])
+    x = ratio[column]
     # Accelerated gradient steps on the weighted, L2-penalized logistic loss.
     weight = share / share.sum()
     penalty = 1e-3
-    bound = 0.25 * float(weight @ (np.einsum("ij,ij->i", x, x) + 1)) + penalty
+    bound = 0.25 * float(weight @ (np.bincount(row, weights=x * x, minlength=n) + 1)) + penalty
     b = b_ahead = np.log(prior / (1 - prior))
     w = w_ahead = np.zeros(len(chosen))
     momentum = 1.0
     for _ in range(steps):
-        error = weight * (1 / (1 + np.exp(-np.clip(x @ w_ahead.astype(np.float32) + b_ahead, -30, 30))) - toxic)
-        w_next = w_ahead - (x.T @ error.astype(np.float32) + penalty * w_ahead) / bound
+        odds = np.bincount(row, weights=x * w_ahead[column], minlength=n) + b_ahead
+        error = weight * (1 / (1 + np.exp(-np.clip(odds, -30, 30))) - toxic)
+        slope = np.bincount(column, weights=x * error[row], minlength=len(chosen))
+        w_next = w_ahead - (slope + penalty * w_ahead) / bound
         b_next = b_ahead - error.sum() / bound
         after = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         w_ahead = w_next + (momentum - 1) / after * (w_next - w)
@@ -120,12 +124,13 @@ _EXAMPLES = pa.schema([("toxic", pa.int32()), ("features", pa.binary())])
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, n_features: int = FEATURES
+    docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, significant: float = SIGNIFICANT
 ) -> Model:
     """Fit on at most ``per_class`` labelled texts of each class that are not held out.
 
     The sample is the rows with the least hash of doc_id; every text stands for as many as its class has in the sample's place, so
-    the prior is that of all training labels. A doc_id with several labels is toxic if one says so; null labels and ids are ignored.
+    the prior is that of all training labels. Features are all n-grams of more than four texts that reach ``significant``, however many.
+    A doc_id with several labels is toxic if one says so; null labels and ids are ignored.
     """
     ship(docs.sparkSession)
     known = (
@@ -161,14 +166,13 @@ def train(
     counts = texts.mapInArrow(count, "feature long, yes long, every long").groupBy("feature").agg(
         F.sum("yes").alias("yes"), F.sum("every").alias("every")
     )
-    # The features that tell the classes apart best: chi-square of presence.
+    # The features that tell the classes apart: chi-square of presence. There are at most 2^BITS.
     expected = F.col("every") * (n_yes / max(1, n))
     spread = expected * (1 - F.col("every") / max(1, n)) * ((n - n_yes) / max(1, n))
     chi = F.when((F.col("every") > 4) & (spread > 0), F.pow(F.col("yes") - expected, 2) / spread)
-    best = counts.withColumn("chi", chi).filter("chi > 0").orderBy(F.desc("chi"), "feature").limit(n_features).collect()
-    best.sort(key=lambda r: r["feature"])
-    chosen = np.array([r["feature"] for r in best], np.int64)
-    ratio = log_ratio(*(np.array([r[c] for r in best], np.float64) for c in ("yes", "every")), n_yes, n)
+    best = counts.withColumn("chi", chi).filter(F.col("chi") >= significant).toArrow().sort_by("feature")
+    chosen = best.column("feature").to_numpy()
+    ratio = log_ratio(*(best.column(c).to_numpy().astype(np.float64) for c in ("yes", "every")), n_yes, n)
     among = np.zeros(1 << BITS, bool)
     among[chosen] = True
 
@@ -182,7 +186,7 @@ def train(
                 features=[packed[a:b].tobytes() for a, b in zip(upto[:-1], upto[1:], strict=True)],
             )
 
-    # At most 2 * per_class rows of at most n_features ids.
+    # At most 2 * per_class rows of ids.
     rows = sorted((r["toxic"], bytes(r["features"])) for r in texts.mapInArrow(extract, "toxic int, features binary").collect())
     toxic = np.array([t for t, _ in rows], np.float64)
     share = np.array([total[t] / max(1, int((toxic == t).sum())) for t, _ in rows])

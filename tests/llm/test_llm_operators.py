@@ -24,6 +24,7 @@ from check import TABLES, _table  # noqa: E402
 from signalyard.llm import (  # noqa: E402
     decontaminate, line_dedup, minhash, packing, quality, token_counts, token_files, toxicity, url_filter, warc,
 )
+from signalyard.llm.common import utf8  # noqa: E402
 from signalyard.llm.queries import ORACLES, QUERIES, vocabulary  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
@@ -330,6 +331,38 @@ def test_toxicity_on_held_out_rows(spark, none):
     assert len(scored) > 200 and np.mean([r["predicted"] == r["toxic"] for r in scored]) > 0.97
     assert all(0 <= r["score"] <= 1 for r in scored)
     assert toxicity.train(texts, labels.limit(0)).intercept == 0.0 and toxicity.score_toxicity(none, model).count() == 0
+    # Every text is scored alike however often it is repeated, and a long one by all of its n-grams.
+    odd = spark.createDataFrame(
+        [(1, "vile", "x"), (1, "vile", "y"), (2, "calm " * 40_000 + "vile rotten filth!", "x"), (3, "calm " * 40_000, "x")],
+        "doc_id long, text string, score string",
+    )
+    got = sorted((r["doc_id"], r["score"]) for r in toxicity.score_toxicity(odd, model).collect())
+    assert got[0] == got[1] and got[2][1] > got[3][1]
+
+
+def test_toxicity_by_hand():
+    """Features, ratios and scores next to plain loops; every chosen n-gram gets a weight of the right sign."""
+
+    def grams(text):
+        text = f" {text} "
+        return {text[i : i + n] for n in toxicity.GRAMS for i in range(len(text) - n + 1)}
+
+    texts = ["calm sea, calm SKY", "", "a-b", "vile"]
+    row, feature = toxicity.gram_features(*utf8(pa.array(texts)))
+    plain = ["".join(c.lower() if c.isalnum() else " " for c in t) for t in texts]
+    assert [len(set(feature[row == k].tolist())) for k in range(4)] == [len(grams(t)) for t in plain]
+    assert np.isclose(toxicity.log_ratio(np.array([3.0]), np.array([4.0]), 5, 20)[0], np.log((4 / 7) / (2 / 17)))
+    weight = np.zeros(1 << toxicity.BITS)
+    weight[feature] = np.linspace(-1, 1, len(feature))
+    model = toxicity.Model(weight, 0.25)
+    want = [1 / (1 + np.exp(-(sum(weight[f] for f in set(feature[row == k].tolist())) + 0.25))) for k in range(4)]
+    assert np.allclose(model.scores(*utf8(pa.array(texts))), want)
+    n = 400
+    toxic = np.arange(n) % 2 == 0
+    own = [np.array([k // 2 + 1000 * int(t)], "<i4") for k, t in enumerate(toxic)]
+    chosen = np.unique(np.concatenate(own)).astype(np.int64)
+    fitted = toxicity.fit(chosen, np.where(chosen < 1000, -1.0, 1.0), own, toxic.astype(float), np.ones(n))
+    assert all((fitted.weight[f[0]] > 0) == t for f, t in zip(own, toxic, strict=True))
 
 
 def test_urls(spark):
