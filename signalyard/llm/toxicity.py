@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalyard.llm.common import Rolling, batch_of, blocks, ship, utf8
+from signalyard.llm.common import batch_of, blocks, ship, utf8
 from signalyard.session import durable
 
 GRAMS = (4, 5, 6)
@@ -25,6 +25,9 @@ SAMPLE_PER_CLASS = 3000
 SIGNIFICANT = 10.83
 THRESHOLD = 0.3
 
+# An odd number near 2^64 divided by the golden ratio: multiplication spreads n-grams over the features.
+_SPREAD = np.uint64(int((5**0.5 - 1) / 2 * 2**64) | 1)
+
 # Lower case; ASCII other than letters and digits is a space.
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[:128] = 32
@@ -42,13 +45,17 @@ def gram_features(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.
     padded[np.arange(len(data)) + 2 * row + 1] = _FOLD[data]
     bounds = np.append(starts[:-1] + shift, len(padded))
     owner = np.repeat(np.arange(n), np.diff(bounds))
-    rolling = Rolling.of_bytes(padded)
     rows, features = [], []
-    for size in GRAMS:
-        hashed = rolling.grams(size)
-        inside = owner[: len(hashed)] == owner[size - 1 : size - 1 + len(hashed)]
-        rows.append(owner[: len(hashed)][inside])
-        features.append((hashed[inside] >> np.uint64(64 - BITS)).astype(np.int64))
+    # An n-gram of at most seven bytes is one number, exact before it is hashed.
+    packed = padded.astype(np.uint64)
+    for size in range(2, max(GRAMS) + 1):
+        packed = (packed[:-1] << np.uint64(8)) | padded[size - 1 :]
+        if size not in GRAMS:
+            continue
+        inside = owner[: len(packed)] == owner[size - 1 : size - 1 + len(packed)]
+        rows.append(owner[: len(packed)][inside])
+        hashed = (packed[inside] + np.uint64(size << 56)) * _SPREAD
+        features.append((hashed >> np.uint64(64 - BITS)).astype(np.int64))
     return np.concatenate(rows), np.concatenate(features)
 
 
