@@ -2,6 +2,7 @@
 
 from signalyard.sources.clustered import write_clustered
 from signalyard.sources.files import MALFORMED, read_batches, read_signals, stream_batches, stream_signals
+from signalyard.sources.row_intake import stream_rows
 from signalyard.sources.sinks import quarantine, stream_to_sink, write_signals
 
 __all__ = [
@@ -10,6 +11,7 @@ __all__ = [
     "read_batches",
     "read_signals",
     "stream_batches",
+    "stream_rows",
     "stream_signals",
     "stream_to_sink",
     "write_clustered",
