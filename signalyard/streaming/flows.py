@@ -11,6 +11,7 @@ from signalyard.operators.validation import split_valid, validate_signals
 from signalyard.operators.validity import ValidityTable
 from signalyard.schemas import signal_schema
 from signalyard.sources.files import stream_signals
+from signalyard.sources.row_intake import stream_rows
 from signalyard.sources.sinks import write_signals
 
 
@@ -21,16 +22,24 @@ def bounded_intake(
     max_files: int | None = None,
     fmt: str = "parquet",
     max_bytes: int | None = None,
+    max_rows: int | None = None,
+    index: str | None = None,
 ) -> DataFrame:
-    """A signal stream that takes at most ``max_files`` files or ``max_bytes`` bytes of files per trigger.
+    """A signal stream that takes at most ``max_files`` files, ``max_bytes`` bytes of files or ``max_rows`` rows per trigger.
 
-    It waits instead of dropping. Give one of the two; a file that alone is larger than ``max_bytes`` is a trigger of its own.
+    It waits instead of dropping. Give one of the three; a file that alone is larger than ``max_bytes`` is a trigger of its own.
+    ``max_rows`` cuts files (Parquet only) and needs a folder ``index``, see ``sources.stream_rows``.
     """
-    for name, bound in (("max_files", max_files), ("max_bytes", max_bytes)):
+    bounds = {"max_files": max_files, "max_bytes": max_bytes, "max_rows": max_rows}
+    for name, bound in bounds.items():
         if bound is not None and bound < 1:
             raise ValueError(f"{name} must be at least 1")
-    if (max_files is None) == (max_bytes is None):
-        raise ValueError("give max_files or max_bytes")
+    if sum(bound is not None for bound in bounds.values()) != 1:
+        raise ValueError("give max_files, max_bytes or max_rows")
+    if max_rows is not None:
+        if fmt != "parquet" or index is None:
+            raise ValueError("max_rows needs Parquet files and an index folder")
+        return stream_rows(spark, path, signal_schema(kind), max_rows, index)
     return stream_signals(spark, path, kind, max_files, fmt, max_bytes)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from signalyard.sources import stream_rows
 from signalyard.sources.row_intake import FileList
+from signalyard.streaming import bounded_intake
 
 
 def _take(stream, out, checkpoint):
@@ -63,5 +64,8 @@ def test_offsets_are_places_in_a_list_written_once(spark, tmp_path):
         seen += [(r[0], r[2] + k) for r in ranges for k in range(r[3])]
         at, triggers = end, triggers + 1
     assert len(seen) == len(set(seen)) == 17 and triggers == 5
+    for more in ({}, {"index": index, "fmt": "json"}, {"index": index, "max_files": 1}):
+        with pytest.raises(ValueError, match="max_rows"):
+            bounded_intake(spark, path, "event", max_rows=5, **more)
     with pytest.raises(ValueError, match="max_rows"):
         stream_rows(spark, path, spark.range(1).schema, 0, index)
