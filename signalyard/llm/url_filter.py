@@ -18,7 +18,7 @@ from signalyard.session import durable
 
 # (rule, verdict): host, then a path prefix.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-# Labelled URLs that trees are grown on at most, those with the least hash; trees, depth and bins per feature.
+# Different labelled URLs that trees are grown on at most, those with the least hash; trees, depth and bins per feature.
 TRAIN_ROWS = 50_000
 TREES, DEPTH, BINS, RATE, PENALTY = 12, 3, 16, 0.4, 1.0
 
@@ -76,28 +76,40 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
     }
 
 
-def _case(table: dict[str, float], key: Column, default: float) -> Column:
-    out = F.lit(default)
-    for k, v in table.items():
-        out = F.when(key == k, v).otherwise(out)
-    return out
+@dataclass(frozen=True)
+class Shares:
+    """The smoothed share of blocked URLs of every suffix of so many labels, as a table (suffix, share)."""
+
+    labels: int
+    table: DataFrame
+    prior: float
+
+    @staticmethod
+    def of(known: DataFrame, labels: int, prior: float) -> Shares:
+        """From ``known`` (host, label, weight), all of it, however many suffixes there are."""
+        share = (F.sum(F.col("weight") * F.col("label")) + 10 * prior) / (F.sum("weight") + 10)
+        found = known.groupBy(_suffix(F.col("host"), labels).alias("suffix")).agg(share.alias("share"))
+        return Shares(labels, durable(found), prior)
+
+    def at(self, host: Column) -> Column:
+        """The share of a host's suffix; the prior where no labelled URL has it. A subquery, which Spark joins by the table's size."""
+        mine = self.table.where(F.col("suffix") == _suffix(host.outer(), self.labels)).select(F.max("share"))
+        return F.coalesce(mine.scalar(), F.lit(self.prior))
 
 
 @dataclass(frozen=True)
 class UrlModel:
     """Suffix statistics, and trees as nested (feature, cut, left, right) or leaf values."""
 
-    prior: float
     base: float
-    top: dict[str, float]
-    second: dict[str, float]
+    top: Shares | None
+    second: Shares | None
     trees: tuple
 
     def features(self, url: Column, host: Column, path: Column) -> dict[str, Column]:
-        return lexical(url, host, path) | {
-            "top_share": _case(self.top, _suffix(host, 1), self.prior),
-            "second_share": _case(self.second, _suffix(host, 2), self.prior),
-        }
+        """All features; without statistics there are no trees that read the suffix shares."""
+        known = self.top is not None and self.second is not None
+        return lexical(url, host, path) | ({"top_share": self.top.at(host), "second_share": self.second.at(host)} if known else {})
 
     def score(self, feature: dict[str, Column]) -> Column:
         """Probability that a URL is to be blocked."""
@@ -114,19 +126,6 @@ def _tree(node, feature: dict[str, Column]) -> Column:
     return F.when(feature[name] <= cut, _tree(left, feature)).otherwise(_tree(right, feature))
 
 
-# Suffixes with statistics of their own: the most frequent ones; the others share the prior.
-SUFFIXES = 64
-
-
-def _suffix_stats(rows: DataFrame, labels: int, prior: float) -> dict[str, float]:
-    """Smoothed share of blocked URLs for the most frequent suffixes."""
-    found = (
-        rows.groupBy(_suffix(F.col("host"), labels).alias("suffix"))
-        .agg(F.count("*").alias("n"), F.sum("label").alias("k")).orderBy(F.desc("n"), "suffix").limit(SUFFIXES)
-    )
-    return {r["suffix"]: (r["k"] + 10 * prior) / (r["n"] + 10) for r in found.collect()}
-
-
 def _cuts(rows: DataFrame) -> dict[str, list[float]]:
     """Distinct quantiles of each feature as places to cut."""
     at = [k / BINS for k in range(1, BINS)]
@@ -137,20 +136,22 @@ def _cuts(rows: DataFrame) -> dict[str, list[float]]:
 def train(urls: DataFrame, label: Column, max_rows: int = TRAIN_ROWS) -> UrlModel:
     """Grow trees on the rows of ``urls`` (url, host, path) where ``label`` (1: block) is not null.
 
-    At most ``max_rows`` rows are taken, those with the least hash of the URL; they are written down once. Without labelled rows,
-    or with one class only, the model is the smoothed prior.
+    Suffix statistics cover all labelled rows. Trees grow on at most ``max_rows`` different URLs, those with the least hash, each weighing as
+    many rows as it has. Without labelled rows, or with one class only, the model is the smoothed prior.
     """
     rows = urls.withColumn("label", label.cast("double")).filter("label IS NOT NULL")
-    sample = durable(rows.orderBy(F.xxhash64("url"), "url").limit(max_rows).select("url", "host", "path", "label"))
-    n, k = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+    known = durable(rows.groupBy("url", "host", "path", "label").agg(F.count("*").cast("double").alias("weight")))
+    n, k = known.agg(
+        F.coalesce(F.sum("weight"), F.lit(0.0)), F.coalesce(F.sum(F.col("weight") * F.col("label")), F.lit(0.0))
+    ).first()
     prior = (k + 1) / (n + 2)
     base = log(prior / (1 - prior))
     if k in (0, n):
-        return UrlModel(prior, base, {}, {}, ())
-    top, second = (_suffix_stats(sample, labels, prior) for labels in (1, 2))
-    empty = UrlModel(prior, base, top, second, ())
-    named = empty.features(F.col("url"), F.col("host"), F.col("path"))
-    values = durable(sample.select("label", *[c.alias(f) for f, c in named.items()]))
+        return UrlModel(base, None, None, ())
+    top, second = (Shares.of(known, labels, prior) for labels in (1, 2))
+    sample = known.orderBy(F.xxhash64("url"), "url").limit(max_rows)
+    named = UrlModel(base, top, second, ()).features(F.col("url"), F.col("host"), F.col("path"))
+    values = durable(sample.select("label", "weight", *[c.alias(f) for f, c in named.items()]))
     cuts = _cuts(values)
     own = {f: F.col(f) for f in FEATURES}
     bins = [
@@ -159,11 +160,12 @@ def train(urls: DataFrame, label: Column, max_rows: int = TRAIN_ROWS) -> UrlMode
     ]
     binned = values.withColumn("bins", F.array(*bins))
     trees: list = []
+    w = F.col("weight")
     for _ in range(TREES):
-        p = UrlModel(prior, base, top, second, tuple(trees)).score(own)
-        step = durable(binned.select("bins", *FEATURES, (p - F.col("label")).alias("g"), (p * (1 - p)).alias("h")))
+        p = UrlModel(base, top, second, tuple(trees)).score(own)
+        step = durable(binned.select("bins", *FEATURES, (w * (p - F.col("label"))).alias("g"), (w * p * (1 - p)).alias("h")))
         trees.append(_grow(step, cuts, own))
-    return UrlModel(prior, base, top, second, tuple(trees))
+    return UrlModel(base, top, second, tuple(trees))
 
 
 def _grow(rows: DataFrame, cuts: dict[str, list[float]], own: dict[str, Column]):
@@ -233,8 +235,7 @@ def judge_urls(
     )
     model = train(parsed, F.when(F.col("ruled").isNotNull(), (F.col("ruled") == "block").cast("int")), max_rows)
     named = model.features(F.col("url"), F.col("host"), F.col("path"))
-    valued = parsed.withColumns(named)
-    scored = valued.withColumn("score", model.score({f: F.col(f) for f in FEATURES}))
+    scored = parsed.withColumns(named).withColumn("score", model.score({f: F.col(f) for f in FEATURES}))
     judged = F.coalesce("ruled", F.when(F.col("score") >= threshold, "block").otherwise("allow"))
     return scored.select("page_id", "host", "path", "rule", judged.alias("verdict"), "score")
 

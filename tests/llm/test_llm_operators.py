@@ -391,6 +391,18 @@ def test_trees_learn_from_lexical_features(spark):
     assert right.filter("(p >= 0.5) = (label = 1)").count() > 580
 
 
+def test_every_suffix_has_a_share_and_a_hot_url_leaves_room(spark):
+    """300 sites that differ in nothing but the share of blocked URLs, and one URL that makes up half of the rows."""
+    rows = [(f"http://s{100 + k}.com/{j}", k % 2) for k in range(300) for j in range(5)] + [("http://s100.com/0", 0)] * 1500
+    host, path = url_filter.host_and_path(url_filter.F.col("url"))
+    df = spark.createDataFrame(rows, "url string, label int").withColumns({"host": host, "path": path})
+    model = url_filter.train(df, url_filter.F.col("label"), max_rows=1000)
+    assert model.second.table.count() == 300
+    named = model.features(*(url_filter.F.col(c) for c in ("url", "host", "path")))
+    right = df.dropDuplicates(["url"]).withColumns(named).withColumn("p", model.score({f: url_filter.F.col(f) for f in named}))
+    assert right.filter("(p >= 0.5) = (label = 1)").count() == 1500
+
+
 @pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
 def test_pipeline_against_single_stages(spark):
     """Each stage works on what its predecessor kept; a brute-force run gives the same documents."""
