@@ -35,7 +35,7 @@ def bounded_intake(
         if bound is not None and bound < 1:
             raise ValueError(f"{name} must be at least 1")
     if sum(bound is not None for bound in bounds.values()) != 1:
-        raise ValueError("give max_files, max_bytes or max_rows")
+        raise ValueError("give max_files or max_bytes or max_rows")
     if max_rows is not None:
         if fmt != "parquet" or index is None:
             raise ValueError("max_rows needs Parquet files and an index folder")
