@@ -28,10 +28,8 @@ from signalyard.operators.events import (
     event_counts,
     latency_sketch,
     latency_summary,
-    merge_user_sketches,
     subscription_state,
     throughput,
-    user_sketches,
     wire_volume,
 )
 from signalyard.operators.filters import (

@@ -24,10 +24,11 @@ def user_sketches(events: DataFrame, period: str = "day", by: Sequence[str] = ()
     return rows.groupBy("period", *keys).agg(F.theta_sketch_agg(user, lg_k).alias("users"))
 
 
-def merge_user_sketches(sketches: DataFrame, period: str = "month", by: Sequence[str] = (), lg_k: int = LG_K) -> DataFrame:
-    """Sketches of a longer period from those of its parts: distinct users, not the sum of days."""
+def merge_user_sketches(sketches: DataFrame, period: str | None = "month", by: Sequence[str] = (), lg_k: int = LG_K) -> DataFrame:
+    """Sketches of a longer period from those of its parts: distinct users, not the sum of days. ``period=None``: of all periods together."""
     keys = with_tenant(sketches, *by)
-    return sketches.groupBy(F.date_trunc(period, "period").alias("period"), *keys).agg(F.theta_union_agg("users", lg_k).alias("users"))
+    longer = [] if period is None else [F.date_trunc(period, "period").alias("period")]
+    return sketches.groupBy(*longer, *keys).agg(F.theta_union_agg("users", lg_k).alias("users"))
 
 
 def estimated_users(sketch: str | Column = "users") -> Column:

@@ -33,6 +33,15 @@ def test_small_sketches_are_exact_per_tenant(spark):
     assert got == {("t", 1): (2, 1, 1, 0), ("t", 2): (0, 3, 1, 0), ("v", 1): (0, 1, 1, 0)}
 
 
+def test_sketches_of_all_periods_count_a_user_once(spark):
+    """Users of two months, one of them in both, another service apart."""
+    rows = [("s", 1, "a"), ("s", 1, "b"), ("s", 2, "b"), ("s", 2, "c"), ("s", 2, None), ("z", 2, "b")]
+    events = spark.createDataFrame([(v, dt.datetime(2024, m, 3, 5), u) for v, m, u in rows], "service string, ts timestamp, user_id string")
+    merged = op.merge_user_sketches(op.user_sketches(events, by=["service"]), period=None, by=["service"])
+    assert merged.columns == ["service", "users"]
+    assert {r["service"]: r["n"] for r in merged.select("service", op.estimated_users().alias("n")).collect()} == {"s": 3, "z": 1}
+
+
 def test_day_sketches_merge_to_months(spark):
     draw = np.random.default_rng(3)
     values = [(dt.datetime(2024, 1 + k % 2, 1 + k % 28), "s", float(v)) for k, v in enumerate(draw.lognormal(3, 2, 20_000))]

@@ -52,7 +52,8 @@ for _period in ("day", "week", "month"):
 def _(t):
     sketches = op.user_sketches(t.view("fx_track"), "day", by=["service"])
     exact = t.view("fx_track").groupBy("service").agg(F.count_distinct("user_id").alias("exact"))
-    both = op.merge_user_sketches(sketches, by=["service"]).join(exact, "service")
+    merged = op.merge_user_sketches(sketches, period=None, by=["service"])
+    both = merged.withColumn("active_users", op.estimated_users()).join(exact, "service")
     return both.select("service", "exact", _within("active_users", "exact", 0.05).alias("close"))
 
 
