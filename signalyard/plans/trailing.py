@@ -52,7 +52,7 @@ def _cell(value: Column) -> dict[str, Column]:
 def _trailing(cells: DataFrame, keys: Sequence[str], span: int, check: bool) -> DataFrame:
     """``_row`` of every cell with n, sum, min and max over the cells from ``_at - span`` to ``_at``.
 
-    ``_at`` is a whole number, unique per key.
+    ``_at`` is a whole number, unique per key; null for rows without a time.
     """
     width = F.lit(span)
     block = F.call_function("div", F.col("_at") - F.pmod("_at", width), width)
@@ -73,10 +73,11 @@ def _trailing(cells: DataFrame, keys: Sequence[str], span: int, check: bool) ->
     # Each cell stays in its block as a possible frame start, and asks the block before for its own.
     start = F.struct("_row", "_rn", "_rs", "_rlo", "_rhi")
     end = F.struct("_fn", "_fs", "_flo", "_fhi")
-    is_end, no_start, no_end = F.lit(True), F.when(F.lit(False), start), F.when(F.lit(False), end)
+    # Cells without a place are their own frame.
+    is_end, no_start, no_end = F.col("_at").isNotNull(), F.when(F.lit(False), start), F.when(F.lit(False), end)
     both = F.array(
         F.struct(F.col("_block").alias("b"), F.col("_at").alias("at"), F.lit(1).alias("rank"), no_start.alias("start"), F.when(is_end, end).alias("end")),
-        F.struct((F.col("_block") - 1).alias("b"), (F.col("_at") - width).alias("at"), F.lit(0).alias("rank"), F.when(is_end, start).alias("start"), no_end.alias("end")),
+        F.struct((F.col("_block") - 1).alias("b"), (F.col("_at") - width).alias("at"), F.lit(0).alias("rank"), F.when(F.lit(True), start).alias("start"), no_end.alias("end")),
     )
     line = inside.select(*keys, F.explode(both).alias("p")).select(
         *keys,
