@@ -1,9 +1,12 @@
-"""Tables in which events repeat: many samples of a series at one time."""
+"""Tables in which events repeat: many samples of a series at one time, sums that meet a bound exactly."""
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import add
 
+from __spark_entry__ import queries
 from signalyard import operators as op
 
 
@@ -20,3 +23,16 @@ def test_moving_gauge_interval_gives_every_sample(spark, rows_of, forced_split):
     assert rows_of(op.moving_gauge(samples, interval="5 hours")) == sorted(wanted, key=repr)
     with forced_split(rows=2):
         assert rows_of(op.moving_gauge(samples, interval="5 hours")) == sorted(wanted, key=repr)
+
+
+def test_rank_users_counts_to_the_cent(spark, tmp_path):
+    """120 purchases of 0.1 and ten of 2.8 are 40; added up as doubles they are a little less."""
+    amounts = [0.1] * 120 + [2.8] * 10
+    assert reduce(add, amounts) < 40  # sum() makes up for lost digits
+    when = dt.datetime(2024, 1, 1)
+    events = spark.createDataFrame(
+        [(i, when, 1, "purchase", a, '{"k":1}') for i, a in enumerate(amounts)],
+        "event_id long, ts timestamp, user_id long, event_type string, value double, props string",
+    )
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    assert [r["points"] for r in queries()["rank_users"](spark, str(tmp_path)).collect()] == [1]

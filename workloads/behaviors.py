@@ -236,7 +236,9 @@ def _(t):
     "fx_revenue",
 )
 def _(t):
-    per_user = t.view("fx_revenue").groupBy("currency", "user_id").agg(F.floor(F.sum("amount") / 40).alias("points"))
+    # Added up as decimals: sums of doubles depend on their order, and a cent's fraction too little costs a user a point.
+    total = F.sum(F.col("amount").cast("decimal(28,10)"))
+    per_user = t.view("fx_revenue").groupBy("currency", "user_id").agg(big(F.floor(total / 40)).alias("points"))
     rows = op.rank_users(per_user, "points", by=["currency"])
     return rows.select(
         "currency", "user_id", "points", big("rank").alias("rank"), big("dense_rank").alias("dense_rank"),
