@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from signalyard.llm.common import Rolling, Words, batch_of, blocks, mix, repeated, ship, sums_by, utf8
 
 # Largest share, in percent of a text's word characters, that may lie in n-grams of so many words
-# found at least twice (all their occurrences count), and in lines found at least twice.
-GRAM_LIMITS = {5: 60, 8: 55, 12: 50}
-LINE_LIMIT = 50
+# found at least twice (all their occurrences count), and in lines found at least twice: the published limits of the
+# Gopher corpus. Words in such n-grams also count for the base rule, so limits near its half would never be met.
+GRAM_LIMITS = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
+LINE_LIMIT = 20
 
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "dup_line_chars"]
 _SYMBOL = np.zeros(256, bool)

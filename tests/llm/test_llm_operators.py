@@ -75,6 +75,22 @@ def test_quality(docs, none):
     assert by[7]["base_failed"] and by[8]["base_failed"]
 
 
+def test_quality_judges_what_the_base_rule_lets_pass(spark):
+    """A sentence five times, and a line of two words thirty times, each about a quarter of a text; both pass the base rule."""
+    words = [f"word{k:03d}" for k in range(200)]
+    sentence = " ".join(f"again{k:02d}" for k in range(12))
+    parts = [" ".join(words[40 * k : 40 * k + 40]) for k in range(5)]
+    rows = [
+        (1, "\n".join(f"{p} {sentence}" for p in parts)),
+        (2, "\n".join(f"{w}\nsame line" for w in words[:30]) + "\n" + " ".join(words[30:110])),
+        (3, " ".join([*words, sentence])),
+    ]
+    got = {r["doc_id"]: r for r in quality.repetition(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert got[1]["dup_chars_10"] == 5 * 12 * 7 and got[2]["dup_line_chars"] == 30 * 8 and got[2]["dup_chars_5"] == 0
+    assert {k: r["kept"] for k, r in got.items()} == {1: False, 2: False, 3: True}
+
+
 def test_line_dedup(docs, none):
     got = line_dedup.dedup_lines(docs)
     assert got.columns == ["doc_id", "text", "row", "kept", "key", "n_lines", "n_dropped"]
