@@ -36,6 +36,9 @@ _UNITS_US = {
     "week": 604_800_000_000,
 }
 
+# Cells per task, which sorts them four times over. Counted, since a task's bytes say little: such rows are small only when packed.
+_TASK_CELLS = 500_000
+
 
 def width_us(width: str) -> int:
     """A fixed interval such as ``10 minutes`` or ``1 day 2 hours`` in microseconds."""
@@ -49,15 +52,21 @@ def _cell(value: Column) -> dict[str, Column]:
     return {"_n": F.when(value.isNull(), 0).otherwise(1).cast("bigint"), "_s": number, "_lo": value, "_hi": value}
 
 
-def _trailing(cells: DataFrame, keys: Sequence[str], span: int, check: bool) -> DataFrame:
+def _spread(df: DataFrame, rows: int, columns: Sequence[str]) -> DataFrame:
+    """A table of more than one task's rows dealt out by ``columns``, else as it is."""
+    return df if rows <= _TASK_CELLS else df.repartition(-(-rows // _TASK_CELLS), *columns)
+
+
+def _trailing(cells: DataFrame, keys: Sequence[str], span: int, check: bool, most: int) -> DataFrame:
     """``_row`` of every cell with n, sum, min and max over the cells from ``_at - span`` to ``_at``.
 
-    ``_at`` is a whole number, unique per key; null for rows without a time.
+    ``_at`` is a whole number, unique per key; null for rows without a time. There are at most ``most`` cells. Few are scanned
+    where they lie, by key; more are spread over the blocks, so that a key's rows need not fit into one task.
     """
     width = F.lit(span)
     block = F.call_function("div", F.col("_at") - F.pmod("_at", width), width)
     inside = (
-        Ordered.of(cells.withColumn("_block", block), [*keys, "_block"], ["_at"], check)
+        Ordered.of(_spread(cells.withColumn("_block", block), most, [*keys, "_block"]), [*keys, "_block"], ["_at"], check)
         .scan(
             _rn=running_sum("_n"),
             _rs=running_sum("_s"),
@@ -88,7 +97,7 @@ def _trailing(cells: DataFrame, keys: Sequence[str], span: int, check: bool) ->
         F.col("p.end").alias("_end"),
     )
     found = (
-        Ordered.of(line, [*keys, "_block"], ["_at", "_rank"], check)
+        Ordered.of(_spread(line, 2 * most, [*keys, "_block"]), [*keys, "_block"], ["_at", "_rank"], check)
         .scan(_tail=next_seen("_end"))
         .filter(F.col("_start").isNotNull())
         .frame()
@@ -112,7 +121,7 @@ def trailing_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: i
     if n == 1:
         result = cells.select(*keys, "_row", F.col("_n").alias("n"), F.col("_s").alias("sum"), F.col("_lo").alias("min"), F.col("_hi").alias("max"))
     else:
-        result = _trailing(cells, keys, n - 1, check=placed.hot is not None)
+        result = _trailing(cells, keys, n - 1, check=placed.hot is not None, most=df.count())
     mean = F.col("sum") / F.nullif("n", F.lit(0))
     return result.select(*keys, "_row.*", "n", mean.alias("mean"), "min", "max").select(
         *df.columns, "n", "mean", "min", "max"
@@ -129,7 +138,7 @@ def trailing_range(
     keys = list(keys)
     cell = _cell(F.lit(0) if value is None else F.col(value))
     rows = df.select(*keys, ts, epoch_us(ts).alias("_at"), *[c.alias(a) for a, c in cell.items()])
-    big = hot_keys(rows, keys) is not None
+    big, most = hot_keys(rows, keys) is not None, rows.count()
     if keys and not big:
         # One exchange on the key serves the sums per time and everything after.
         rows = rows.repartition(*keys)
@@ -137,5 +146,5 @@ def trailing_range(
         F.sum("_n").alias("_n"), F.sum("_s").alias("_s"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")
     )
     cells = moments.select(*keys, "_at", F.struct(ts).alias("_row"), "_n", "_s", "_lo", "_hi")
-    result = _trailing(cells, keys, width_us(width), check=big)
+    result = _trailing(cells, keys, width_us(width), check=big, most=most)
     return result.select(*keys, f"_row.{ts}", "n", "sum", "min", "max")

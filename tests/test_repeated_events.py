@@ -6,8 +6,11 @@ import datetime as dt
 from functools import reduce
 from operator import add
 
+from pyspark.sql import functions as F
+
 from __spark_entry__ import queries
 from signalyard import operators as op
+from signalyard.plans import trailing
 
 
 def test_moving_gauge_interval_gives_every_sample(spark, rows_of, forced_split):
@@ -36,3 +39,13 @@ def test_rank_users_counts_to_the_cent(spark, tmp_path):
     )
     events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
     assert [r["points"] for r in queries()["rank_users"](spark, str(tmp_path)).collect()] == [1]
+
+
+def test_trailing_rows_are_spread_over_blocks(spark, rows_of, monkeypatch):
+    """One series, ten cells a task: the same figures, and no task has them all."""
+    samples = spark.range(0, 200, 1, 3).select(F.lit("a").alias("series_key"), F.col("id").alias("seq"), (F.col("id") * 37 % 101).cast("double").alias("value"), F.timestamp_seconds("id").alias("ts"))
+    whole = rows_of(op.moving_gauge(samples, rows=7))
+    monkeypatch.setattr(trailing, "_TASK_CELLS", 10)
+    spread = op.moving_gauge(samples, rows=7)
+    assert rows_of(spread) == whole
+    assert spread.select(F.spark_partition_id().alias("p")).distinct().count() > 4
