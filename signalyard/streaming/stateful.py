@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from signalyard.operators.keys import with_tenant
+from signalyard.operators.keys import row_order, with_tenant
 from signalyard.operators.metrics import with_series
 from signalyard.plans.trailing import width_us
 
@@ -124,13 +124,13 @@ class _Expiring(StatefulProcessor):
 class CounterSteps(_Expiring):
     """The last sample of a series, from one micro-batch to the next."""
 
-    def __init__(self, ttl_ms: int, block_rows: int) -> None:
-        self._ttl_ms, self._block_rows = ttl_ms, block_rows
+    def __init__(self, ttl_ms: int, block_rows: int, by: Sequence[str]) -> None:
+        self._ttl_ms, self._block_rows, self._by = ttl_ms, block_rows, list(by)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self._last = handle.getValueState("last", "us bigint, value double")
-        self._sorted = SortedRows(handle, ["us"], self._block_rows)
+        self._sorted = SortedRows(handle, self._by, self._block_rows)
 
     def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues) -> None:
         newest = initialState.sort_values("us").iloc[-1]
@@ -168,23 +168,25 @@ def counter_stream(
     Reset-aware. The last sample per series is state; it is dropped once the series is silent for
     ``ttl`` of event time. A sample not newer than the state is flagged ``late`` and has step 0; samples
     older than the watermark (``delay``) are dropped by Spark. ``initial`` is a batch table of samples (of the
-    columns of ``metrics``) whose newest per series is the state to begin with.
+    columns of ``metrics``) whose newest per series is the state to begin with. Samples of one time go by ``seq`` where there is one;
+    without it their order is that of arrival, which is no order when a micro-batch has several files.
     """
     def shaped(df: DataFrame, watermark: bool) -> tuple[DataFrame, list[str]]:
         series = with_series(df)
         series = series.withWatermark("ts", delay) if watermark else series
         keys = with_tenant(series, "name", "series_key")
         value = F.col("value").cast("double").alias("value")
-        return series.select(*keys, "ts", F.unix_micros("ts").alias("us"), value), keys
+        return series.select(*keys, "ts", F.unix_micros("ts").alias("us"), *ties, value), keys
 
+    ties = [c for c in row_order(metrics) if c != "ts"]
     rows, keys = shaped(metrics, True)
     start = None
     if initial is not None:
         # The newest sample only: of a long history one row per series reaches the state.
-        known = shaped(initial, False)[0].groupBy(*keys).agg(F.max_by(F.struct("us", "value"), "us").alias("_s"))
+        known = shaped(initial, False)[0].groupBy(*keys).agg(F.max_by(F.struct("us", "value"), F.struct("us", *ties)).alias("_s"))
         start = known.select(*keys, "_s.*").groupBy(*keys)
     stepped = rows.groupBy(*keys).transformWithStateInPandas(
-        CounterSteps(width_us(ttl) // 1000, block_rows),
+        CounterSteps(width_us(ttl) // 1000, block_rows, ["us", *ties]),
         outputStructType=f"{_fields(rows)}, step double, late boolean",
         outputMode="append",
         timeMode="EventTime",

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from signalyard import operators as op
 from signalyard.plans import trailing
+from workloads import streams
+from workloads.tables import Tables
 
 
 def test_moving_gauge_interval_gives_every_sample(spark, rows_of, forced_split):
@@ -41,6 +43,19 @@ def test_rank_users_counts_to_the_cent(spark, tmp_path):
     assert [r["points"] for r in queries()["rank_users"](spark, str(tmp_path)).collect()] == [1]
 
 
+def test_a_part_of_a_replay_is_one_micro_batch_of_several_files(spark, tmp_path, monkeypatch):
+    """Parts of many rows, of fewer rows than files, of none, and of one."""
+    spark.range(10).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(streams, "_FILE_ROWS", 3)
+    t = Tables(spark, str(tmp_path))
+    monkeypatch.setattr(t, "scratch", lambda n=iter(range(9)): f"{tmp_path}/scratch{next(n)}")
+    parts = [spark.range(*span) for span in ((0, 100), (100, 102), (102, 102), (102, 150), (150, 151))]
+    rows = streams.drain(t, streams.replay(t, *parts))
+    assert len(spark.read.parquet(f"{tmp_path}/scratch0").inputFiles()) > len(parts)
+    got = {r["flush"]: (r["a"], r["b"], r["n"]) for r in rows.groupBy("flush").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("n")).collect()}
+    assert got == {0: (0, 99, 100), 1: (100, 101, 2), 3: (102, 149, 48), 4: (150, 150, 1)}
+
+
 def test_trailing_rows_are_spread_over_blocks(spark, rows_of, monkeypatch):
     """One series, ten cells a task: the same figures, and no task has them all."""
     samples = spark.range(0, 200, 1, 3).select(F.lit("a").alias("series_key"), F.col("id").alias("seq"), (F.col("id") * 37 % 101).cast("double").alias("value"), F.timestamp_seconds("id").alias("ts"))

@@ -27,6 +27,13 @@ def small_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
 
 
+def test_counter_samples_of_one_time_go_by_seq(spark, feed, drain):
+    """Six samples of one series and time that arrive last first, in runs that are merged."""
+    df = spark.createDataFrame([("c", "s", dt.datetime(2024, 1, 1), k, 10.0 * k) for k in range(6, 0, -1)], "name string, series_key string, ts timestamp, seq long, value double")
+    got = {r["value"]: r["step"] for r in drain(counter_stream(feed(df), block_rows=2)).collect()}
+    assert got == {10.0: 0.0, **{10.0 * k: 10.0 for k in range(2, 7)}}
+
+
 def test_counter_of_many_batches_is_in_time_order(spark, feed, drain, small_batches):
     draw = random.Random(1)
     rows = [("c", s, k, float(draw.choice([k % 97, k % 13, 5]))) for s in "xy" for k in range(500)]

@@ -63,12 +63,26 @@ def drain(t, stream: DataFrame, mode: str = "append", until_idle: bool = False)
     return out
 
 
+# Rows of the events that a replay puts into one file: one task writes it.
+_FILE_ROWS = 500_000
+
+
 def replay(t, *parts: DataFrame) -> DataFrame:
-    """The given tables as a stream, one after the other."""
+    """The given tables as a stream, one after the other: each is one micro-batch, of as many files as there are events for.
+
+    The source takes that many files at a time, so a part with fewer that others follow is filled up with empty ones.
+    """
     path = t.scratch()
-    for part in parts:
-        part.coalesce(1).write.mode("append").parquet(path)
-    return t.spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
+    n = max(1, -(-t.base("events").count() // _FILE_ROWS))
+    none = t.spark.createDataFrame([], parts[0].schema).coalesce(1)
+    for place, part in enumerate(parts, 1):
+        laid_out = part.coalesce(1) if n == 1 else part.repartition(n)
+        laid_out.write.mode("append").parquet(path)
+        if place < len(parts):
+            there = len(t.spark.read.schema(part.schema).parquet(path).inputFiles())
+            for _ in range(place * n - there):
+                none.write.mode("append").parquet(path)
+    return t.spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", n).parquet(path)
 
 
 @query("stream_signals", _LANDED_SQL, "fx_track")
