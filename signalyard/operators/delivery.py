@@ -6,6 +6,8 @@ Delivery is best effort: frames can be lost, repeated and reordered, and there i
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,8 +135,9 @@ def pack_batches(
     scope = with_tenant(signals)
     order = row_order(signals)
     fields = [c for c in signals.columns if c not in scope]
+    stamped = signals.withColumn("_flush", time_bucket("ts", flush_interval))
     placed = (
-        Ordered.of(signals.withColumn("_flush", time_bucket("ts", flush_interval)), [*scope, "_flush"], order)
+        Ordered.of(stamped, [*scope, "_flush"], order)
         .scan(_pos=running_sum(F.lit(1)))
         .frame()
         .withColumn("_part", F.call_function("div", F.col("_pos") - 1, F.lit(batch_size)))
@@ -142,7 +145,13 @@ def pack_batches(
     batches = placed.groupBy(*scope, "_flush", "_part").agg(
         F.array_sort(F.collect_list(F.struct("_pos", F.struct(*fields).alias("_signal")))).alias("_rows")
     )
-    numbered = Ordered.of(batches, scope, ["_flush", "_part"]).scan(batch_id=running_sum(F.lit(1))).frame()
+    # Ids come from counts per interval, so that no signal goes through the task that numbers a tenant's batches.
+    at = [*scope, "_flush"]
+    counted = stamped.groupBy(*at).agg(F.call_function("div", F.count("*") + (batch_size - 1), F.lit(batch_size)).alias("_parts"))
+    upto = Ordered.of(counted, scope, ["_flush"]).scan(_upto=running_sum("_parts")).frame()
+    before = upto.select(*[F.col(c).alias(f"_at_{c}") for c in at], (F.col("_upto") - F.col("_parts")).alias("_before"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in at])
+    numbered = batches.join(before, same).withColumn("batch_id", F.col("_before") + F.col("_part") + 1)
     return numbered.select(
         *scope,
         F.lit(schema_type).alias("schema_type"),

@@ -64,3 +64,18 @@ def test_trailing_rows_are_spread_over_blocks(spark, rows_of, monkeypatch):
     spread = op.moving_gauge(samples, rows=7)
     assert rows_of(spread) == whole
     assert spread.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+
+
+def test_packed_signals_do_not_meet_in_the_task_that_numbers_batches(spark):
+    """Three intervals of 25 signals in batches of ten, without a tenant: ids 1 to 9 in order, in more than one partition."""
+    signals = spark.range(75).select(F.timestamp_seconds(F.col("id") * 40).alias("ts"), F.col("id").alias("seq"))
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        packed = op.pack_batches(signals, "event", 10, "1000 seconds").withColumn("p", F.spark_partition_id())
+        got = sorted((r["batch_id"], [s["seq"] for s in r["data"]], r["p"]) for r in packed.collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    edges = [0, 10, 20, 25, 35, 45, 50, 60, 70, 75]
+    assert [(i, seqs) for i, seqs, _ in got] == [(k + 1, list(range(a, b))) for k, (a, b) in enumerate(zip(edges, edges[1:]))]
+    assert len({p for _, _, p in got}) > 1
