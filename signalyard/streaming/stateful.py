@@ -1,4 +1,4 @@
-"""Per-key state that Catalyst has no form for: the previous counter value, registered properties.
+"""Per-key state that Catalyst has no form for: the previous counter value, registered properties, logs around events.
 
 State processors (``transformWithStateInPandas``) get the rows of a key in Arrow batches, in no order. ``SortedRows`` puts them
 in time order within bounded memory: batches are sorted one by one, and when there are several, laid down in the state store in
@@ -34,6 +34,19 @@ def _fields(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
+def _packed(rows: pd.DataFrame) -> bytes:
+    part = pa.RecordBatch.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, part.schema) as out:
+        out.write_batch(part)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pd.DataFrame:
+    with pa.ipc.open_stream(bytes(data)) as source:
+        return source.read_pandas()
+
+
 class SortedRows:
     """The rows of a key in the order of ``by``, a part at a time."""
 
@@ -45,18 +58,13 @@ class SortedRows:
         """Lay down a sorted batch; the number of its blocks."""
         starts = range(0, len(rows), self._block_rows)
         for block, start in enumerate(starts):
-            part = pa.RecordBatch.from_pandas(rows.iloc[start : start + self._block_rows], preserve_index=False)
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, part.schema) as out:
-                out.write_batch(part)
-            self._blocks.updateValue((run, block), (sink.getvalue().to_pybytes(),))
+            self._blocks.updateValue((run, block), (_packed(rows.iloc[start : start + self._block_rows]),))
         return len(starts)
 
     def _get(self, run: int, block: int) -> pd.DataFrame:
         data = self._blocks.getValue((run, block))[0]
         self._blocks.removeKey((run, block))
-        with pa.ipc.open_stream(bytes(data)) as source:
-            return source.read_pandas()
+        return _unpacked(data)
 
     def _upto(self, rows: pd.DataFrame, bound: tuple) -> int:
         """How many of the sorted rows are not after ``bound``."""
@@ -298,3 +306,85 @@ def super_props_stream(
         initialState=start,
     )
     return found.select(*keys, F.timestamp_micros("us").alias("ts"), "seq", "row", "super_props")
+
+
+# Stands for a missing time and for a missing level: integers with nulls would reach Python as doubles.
+NO_TIME, NO_LEVEL = -(2**63), 2**63 - 1
+
+
+class _LogsInOrder:
+    """Logs by session and time, asked for ranges of time."""
+
+    def __init__(self, parts: list[pd.DataFrame]) -> None:
+        rows = pd.concat(parts, ignore_index=True)
+        codes, sessions = pd.factorize(rows["session"].to_numpy(dtype=object))
+        at = rows["us"].to_numpy()
+        self._sessions, self._times = pd.Index(sessions), np.unique(at)
+        # One number per (session, place of the time); a session has one place more than there are times.
+        self._wide = len(self._times) + 1
+        places = codes * self._wide + np.searchsorted(self._times, at)
+        order = np.argsort(places, kind="stable")
+        self._places, self._level = places[order], rows["level"].to_numpy()[order]
+        self._errors = np.concatenate([[0], np.cumsum(rows["error"].to_numpy()[order])])
+
+    def between(self, session: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number, errors and least level of the logs of each session from ``low`` to ``high``, both ends included."""
+        codes = self._sessions.get_indexer(session)
+        begin = np.searchsorted(self._places, codes * self._wide + np.searchsorted(self._times, low, "left"))
+        end = np.searchsorted(self._places, codes * self._wide + np.searchsorted(self._times, high, "right"))
+        end = np.where(codes < 0, begin, end)
+        n = end - begin
+        worst = np.full(len(n), NO_LEVEL)
+        # Least levels of 1, 2, 4, ... logs in a row; two such stretches cover a range.
+        least, length = self._level, 1
+        while (n >= length).any():
+            own = np.flatnonzero((n >= length) & (n < 2 * length))
+            worst[own] = np.minimum(least[begin[own]], least[end[own] - length])
+            least = np.minimum(least[:-length], least[length:]) if len(least) > length else least
+            length *= 2
+        return n, self._errors[end] - self._errors[begin], worst
+
+
+class NearLogs(StatefulProcessor):
+    """Events and logs of a block of time, for a bucket of sessions, until the block is complete."""
+
+    def __init__(self, before: int, after: int, block: int) -> None:
+        self._before, self._after, self._block = before, after, block
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self._events = handle.getListState("events", "rows binary")
+        self._logs = handle.getListState("logs", "rows binary")
+
+    def _met(self, events: pd.DataFrame, logs: _LogsInOrder | None) -> pd.DataFrame:
+        n = errors = np.zeros(len(events), np.int64)
+        worst = np.full(len(events), NO_LEVEL)
+        if logs is not None:
+            at = events["us"].to_numpy()
+            n, errors, worst = logs.between(events["session"].to_numpy(dtype=object), at - self._before, at + self._after)
+        return events[["us", "row"]].assign(n_logs=n, n_errors=errors, worst=worst)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for part in rows:
+            is_event = part["is_event"].to_numpy(dtype=bool)
+            events = part.loc[is_event, ["session", "us", "row"]]
+            if key[1] == NO_TIME:
+                yield self._met(events, None)
+                continue
+            if len(events):
+                self._events.appendValue((_packed(events),))
+            if len(events) < len(part):
+                self._logs.appendValue((_packed(part.loc[~is_event, ["session", "us", "error", "level"]]),))
+        if key[1] != NO_TIME and not list(self.handle.listTimers()):
+            self.handle.registerTimer(-(-((key[1] + 1) * self._block + self._after) // 1000))
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self._events.exists():
+            logs = _LogsInOrder([_unpacked(r[0]) for r in self._logs.get()]) if self._logs.exists() else None
+            for (data,) in self._events.get():
+                yield self._met(_unpacked(data), logs)
+        self._events.clear()
+        self._logs.clear()
+
+    def close(self) -> None:
+        pass

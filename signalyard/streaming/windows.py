@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signalyard.functions.payload import merged_map, props_of
 from signalyard.operators.delivery import row_digest
 from signalyard.operators.keys import row_order, with_tenant
 from signalyard.plans.trailing import width_us
 from signalyard.schemas import ERROR_LEVEL
+from signalyard.streaming.stateful import NO_LEVEL, NO_TIME, NearLogs
 
 
 def _marked(df: DataFrame, delay: str, ts: str = "ts") -> DataFrame:
@@ -84,6 +87,10 @@ def profile_stream(identifies: DataFrame, user: str = "user_id", payload: str =
     )
 
 
+# Events travel to the state processor as JSON; the default formats would cut times to milliseconds.
+_EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "mode": "FAILFAST"}
+
+
 def join_streams(
     events: DataFrame,
     logs: DataFrame,
@@ -92,71 +99,65 @@ def join_streams(
     slot: str = "1 minute",
     delay: str = "10 minutes",
     on: Sequence[str] = ("session_id",),
+    buckets: int = 16,
 ) -> DataFrame:
     """Each event once, with the logs of its session from ``before`` to ``after`` its time: the stream form of ``logs_near_event``.
 
-    Adds ``n_logs``, ``n_errors`` and ``worst_level``; both ends of the range belong to it. Logs are summed up per session
-    and ``slot``. An event meets the sums of the slots that lie in its range, and the single logs of the slots at its two
-    edges; what it meets is added up per event. All joins are on (session, slot), so a busy session is spread over its slots, and
-    an event has (before + after) / slot + 2 rows at most besides its edge logs: choose the slot by how busy a session gets.
+    Adds ``n_logs``, ``n_errors`` and ``worst_level``; both ends of the range belong to it. Time is cut into blocks as long as the range, in
+    whole ``slot``, and sessions are spread over ``buckets`` by hash. An event is held in its own block, a log in the two or three whose
+    events can reach it. When a block is complete, the logs of a bucket are sorted and each event finds its range by binary search,
+    so a busy session costs no more than others. A task holds the logs of one bucket and block, and its events in parts: with more
+    rows per range, give more buckets.
 
-    An event comes out once both streams are past its range and ``delay``. Rows later than that are dropped by Spark; an event without
-    logs, or without a session, has zeros and a null level; equal events come out as often as they came in, within a
-    ``delay``. Columns of ``events`` must be groupable (no maps or variants).
+    An event comes out once both streams are past its block and ``after``, by ``delay``. Rows later than that are dropped by Spark; an event
+    without logs, or without a session, has zeros and a null level, and so has one without a time, which comes out at once. Equal
+    events come out as often as they came in. Columns of ``events`` must be expressible in JSON (no intervals, map keys are
+    strings). The result has no watermark.
     """
     keys = with_tenant(events, *on)
     before_us, after_us, slot_us = width_us(before), width_us(after), width_us(slot)
-    error = F.col("level") <= ERROR_LEVEL
-    known = logs.filter(" AND ".join(f"{k} IS NOT NULL" for k in on))
-    told, named = [F.col(k).alias(f"_k_{k}") for k in keys], [f"_k_{k}" for k in keys]
-
-    # In every join the time of the event is the one that goes on; that of the log side only bounds the state.
-    left = _marked(events, delay)
-    us = F.unix_micros("ts")
-    first, last = F.floor((us - before_us) / slot_us), F.floor((us + after_us) / slot_us)
-    full_first, full_last = F.ceil((us - before_us) / slot_us), F.floor((us + after_us + 1) / slot_us) - 1
-    edges = F.array_distinct(F.filter(F.array(first, last), lambda s: (s < full_first) | (s > full_last)))
-    full = F.when(full_last >= full_first, F.sequence(full_first, full_last)).otherwise(F.array().cast("array<bigint>"))
-    columns = events.columns
-
-    right = _marked(known.select(*told, "ts", "level"), delay)
-    single = right.select(
-        *named, F.col("ts").alias("_at"), F.floor(F.unix_micros("ts") / slot_us).alias("_slot_b"),
-        F.lit(1).cast("bigint").alias("_n"), error.cast("bigint").alias("_e"), F.col("level").alias("_w"),
-    )
-    # A slot's window begins at a multiple of its length since the epoch, as the slots of an event do.
-    summed = (
-        right.groupBy(F.window("ts", slot).alias("_win"), *named)
-        .agg(F.count("*").alias("_n"), F.count_if(error).alias("_e"), F.min("level").alias("_w"))
-        .select(
-            *named, F.window_time("_win").alias("_at"), F.floor(F.unix_micros("_win.start") / slot_us).alias("_slot_b"),
-            "_n", "_e", "_w",
-        )
-    )
-
-    def met(slots: Column, side: DataFrame) -> DataFrame:
-        spread = left.withColumn("_slot_a", F.explode(slots))
-        condition = F.col("_slot_a") == F.col("_slot_b")
-        for k in keys:
-            condition = condition & (F.col(k) == F.col(f"_k_{k}"))
-        low, high = (F.expr(f"INTERVAL {w} MICROSECONDS") for w in (before_us, after_us))
-        condition = condition & (F.col("_at") >= F.col("ts") - low) & (F.col("_at") <= F.col("ts") + high)
-        return spread.join(side, condition, "inner").select(*columns, "_n", "_e", "_w", F.lit(0).cast("bigint").alias("_own"))
-
+    block_us = max(1, -(-(before_us + after_us) // slot_us)) * slot_us
+    whole_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     none = F.lit(0).cast("bigint")
-    own = left.select(
-        *columns, none.alias("_n"), none.alias("_e"), F.lit(None).cast(logs.schema["level"].dataType).alias("_w"),
-        F.lit(1).cast("bigint").alias("_own"),
+
+    def shaped(df: DataFrame, low: int, high: int, is_event: bool, **values: Column) -> DataFrame:
+        us, width = F.unix_micros("ts"), F.lit(block_us)
+        first, last = (F.call_function("div", us + edge - F.pmod(us + edge, width), width) for edge in (low, high))
+        blocks = F.when(us.isNull(), F.array(F.lit(NO_TIME))).otherwise(F.sequence(first, last))
+        session = F.to_json(F.struct(*[F.col(k).cast(events.schema[k].dataType).alias(k) for k in keys]), _EXACT)
+        # Pandas knows the years 1678 to 2261; times beyond are kept in ``us`` and move the watermark to the edge of that.
+        early, far = (F.lit(edge).cast("timestamp") for edge in ("1678-01-01", "2262-01-01"))
+        seen = F.when(us.isNotNull(), F.least(F.greatest("ts", early), far))
+        rows = df.select(
+            seen.alias("_seen"), F.coalesce(us, F.lit(NO_TIME)).alias("us"), blocks.alias("_blocks"),
+            F.when(whole_key, session).otherwise("").alias("session"), F.lit(is_event).alias("is_event"),
+            *[values[n].alias(n) for n in ("row", "error", "level")],
+        )
+        bucket = F.pmod(F.xxhash64("session"), F.lit(buckets)).alias("bucket")
+        return _marked(rows, delay, "_seen").select(bucket, F.explode("_blocks").alias("block"), "*").drop("_blocks")
+
+    rest = [c for c in events.columns if c != "ts"]
+    row = F.to_json(F.struct(*rest), _EXACT)
+    error, level = F.coalesce(F.col("level") <= ERROR_LEVEL, F.lit(False)).cast("bigint"), F.col("level").cast("bigint")
+    both = shaped(events, 0, 0, True, row=row, error=none, level=none).unionByName(
+        shaped(
+            logs.filter(whole_key & F.col("ts").isNotNull()), -after_us, before_us, False,
+            row=F.lit(""), error=error, level=F.coalesce(level, F.lit(NO_LEVEL)),
+        )
     )
-    every = own.unionByName(met(full, summed)).unionByName(met(edges, single))
-    grouped = every.groupBy(*columns).agg(
-        F.sum("_n").alias("_n"), F.sum("_e").alias("_e"), F.min("_w").alias("worst_level"), F.sum("_own").alias("_own")
-    )
-    # Equal events met everything as often as there are of them.
-    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), "_own"))
-    return grouped.filter("_own > 0").withColumn("_copy", copies).select(
-        *columns, F.expr("_n DIV _own").alias("n_logs"), F.expr("_e DIV _own").alias("n_errors"), "worst_level"
+    met = both.groupBy("bucket", "block").transformWithStateInPandas(
+        NearLogs(before_us, after_us, block_us),
+        outputStructType="us bigint, row string, n_logs bigint, n_errors bigint, worst bigint",
+        outputMode="append",
+        timeMode="EventTime",
     )
+    worst = F.when(F.col("worst") != NO_LEVEL, F.col("worst")).cast(logs.schema["level"].dataType)
+    found = met.withColumn("_e", F.from_json("row", T.StructType([events.schema[c] for c in rest]), _EXACT))
+    at = F.when(F.col("us") != NO_TIME, F.timestamp_micros("us"))
+    return found.select(
+        *[at.alias("ts") if c == "ts" else F.col("_e")[c].alias(c) for c in events.columns],
+        "n_logs", "n_errors", worst.alias("worst_level"),
+    )
 
 
 def enrich_stream(events: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:

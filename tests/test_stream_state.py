@@ -6,6 +6,7 @@ import datetime as dt
 import json
 import random
 from collections import defaultdict
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -113,3 +114,41 @@ def test_streams_meet_exactly(spark, feed, drain):
     for r in drain(join_streams(e, lo, "90 seconds", "200 seconds", "1 minute", "2 hours")).filter("seq >= 0").collect():
         got[r["seq"]].append((r["n_logs"], r["n_errors"], r["worst_level"]))
     assert got == want
+
+
+def test_an_event_is_held_once_however_many_slots_it_reaches(spark, feed, tmp_path):
+    """240 slots in the range: what is put into the state goes with the rows that come in."""
+    events = spark.range(300).selectExpr("id AS seq", "timestamp_seconds(1704067200 + id * 60) AS ts", "concat('s', id % 5) AS session_id")
+    logs = events.selectExpr("ts", "session_id", "CAST(seq % 9 AS INT) AS level")
+    joined = join_streams(feed(events), feed(logs), "3 hours", "1 hour", "1 minute", "1 hour")
+    run = joined.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    assert run.awaitTermination(120)
+    assert sum(s.numRowsUpdated for p in run.recentProgress for s in p.stateOperators) <= 4 * 600
+
+
+def test_joined_events_keep_their_columns(spark, feed, drain):
+    """Big integers beside nulls, microseconds, NaN, decimals, bytes, nested values; an event without a time, one far in the future."""
+    big, cent = 2**63 - 1, Decimal("12345678901234567890.12")
+    ddl = ("seq long, ts timestamp, session_id string, tenant binary, big long, wide decimal(22,2), x double, "
+           "seen timestamp, day date, inner struct<a:array<long>,b:string>, named map<string,int>")
+    rows = [
+        (1, at(10), "s", b"\xff\x00", big, cent, float("nan"), at(1.000001), dt.date(2024, 2, 29), ([big, None], 'q"é\n'), {"k": 1}),
+        (2, at(10), "s", b"\xff\x01", None, None, None, None, None, None, None),
+        (3, None, "s", b"\xff\x00", -big, -cent, float("-inf"), at(0), None, (None, None), {}),
+        (4, at(10), None, b"\xff\x00", 2**53 + 1, None, -0.0, None, None, None, None),
+        (5, at(10), "s", None, 0, None, 0.1, None, None, None, None),
+    ]
+    end = (-1, at(10**7), "end", None, *[None] * 7)
+    logs = [(at(s), "s", t, v) for s, t, v in [(5, b"\xff\x00", 4), (15, b"\xff\x00", None), (15, b"\xff\x01", 2), (15, None, 0)]]
+    logs += [(None, "s", b"\xff\x00", 0), (at(10), None, b"\xff\x00", 0)]
+    l_ddl = "ts timestamp, session_id string, tenant binary, level tinyint"
+    e = feed(spark.createDataFrame(rows, ddl), spark.createDataFrame([end], ddl))
+    lo = feed(spark.createDataFrame(logs, l_ddl), spark.createDataFrame([(end[1], "end", b"", 8), (dt.datetime(2300, 1, 1), "end", b"", 8)], l_ddl))
+    out = drain(join_streams(e, lo, "5 seconds", "5 seconds", "7 seconds", "1 minute")).filter("seq >= 0")
+    assert out.schema["worst_level"].dataType.simpleString() == "tinyint"
+    got = {r["seq"]: r for r in out.collect()}
+    assert {k: (r["n_logs"], r["n_errors"], r["worst_level"]) for k, r in got.items()} == {
+        1: (2, 0, 4), 2: (1, 1, 2), 3: (0, 0, None), 4: (0, 0, None), 5: (0, 0, None),
+    }
+    for want in rows:
+        assert repr(tuple(got[want[0]])[: len(want)]) == repr(tuple(spark.createDataFrame([want], ddl).first()))
