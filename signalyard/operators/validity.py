@@ -68,8 +68,9 @@ class ValidityTable:
 
     def at_time(self, events: DataFrame, order: Sequence[str] = ("ts", "seq"), version: int | None = None) -> DataFrame:
         """Events with the values valid at their time, null where none were; a change at the event's own time counts."""
-        history = self.intervals(version, events)
-        held = history.filter("valid_from < valid_to").select(
+        history = self.intervals(version, events).filter("valid_from < valid_to")
+        # Written down: the scan counts its rows, and those of its keys, before it runs.
+        held = durable(history.select(
             *self.keys, F.col("valid_from").alias(order[0]), *([F.col("seq").alias(order[1])] if len(order) > 1 else []), *self.values
-        )
+        ))
         return asof_backward(events, held, self.keys, self.values, order)

@@ -10,6 +10,7 @@ from signalyard.operators.delivery import route_by_schema, unpack_batches
 from signalyard.operators.validation import split_valid, validate_signals
 from signalyard.operators.validity import ValidityTable
 from signalyard.schemas import signal_schema
+from signalyard.session import durable_scope
 from signalyard.sources.files import stream_signals
 from signalyard.sources.row_intake import stream_rows
 from signalyard.sources.sinks import write_signals
@@ -126,19 +127,21 @@ def enrich_asof_stream(
         spark = batch.sparkSession
         rows = batch.persist()
         try:
-            version = table.fold(rows.filter("change IS NOT NULL").select("change.*"), batch_id + 1)
-            held = rows.filter("event IS NOT NULL").select("event.*")
-            seen = None
-            if batch_id > 0:
-                held = held.unionByName(spark.read.schema(schema).parquet(f"{path}/held/flush={batch_id - 1}"))
-                seen = spark.read.parquet(f"{path}/marks/flush={batch_id - 1}").first()["mark"]
-            newest = rows.agg(F.max(F.coalesce("event.ts", "change.ts")).alias("mark")).first()["mark"]
-            mark = max((t for t in (seen, newest) if t is not None), default=None)
-            waits = F.coalesce(F.col("ts") > F.lit(mark) - F.expr(f"INTERVAL {delay}"), F.lit(False))
-            table.at_time(held.filter(~waits), version=version).write.mode("overwrite").parquet(f"{path}/out/flush={batch_id}")
-            held.filter(waits).write.mode("overwrite").parquet(f"{path}/held/flush={batch_id}")
-            marks = spark.range(1).select(F.lit(mark).cast("timestamp").alias("mark"))
-            marks.write.mode("overwrite").parquet(f"{path}/marks/flush={batch_id}")
+            # What is written down on the way goes with the micro-batch.
+            with durable_scope(spark):
+                version = table.fold(rows.filter("change IS NOT NULL").select("change.*"), batch_id + 1)
+                held = rows.filter("event IS NOT NULL").select("event.*")
+                seen = None
+                if batch_id > 0:
+                    held = held.unionByName(spark.read.schema(schema).parquet(f"{path}/held/flush={batch_id - 1}"))
+                    seen = spark.read.parquet(f"{path}/marks/flush={batch_id - 1}").first()["mark"]
+                newest = rows.agg(F.max(F.coalesce("event.ts", "change.ts")).alias("mark")).first()["mark"]
+                mark = max((t for t in (seen, newest) if t is not None), default=None)
+                waits = F.coalesce(F.col("ts") > F.lit(mark) - F.expr(f"INTERVAL {delay}"), F.lit(False))
+                table.at_time(held.filter(~waits), version=version).write.mode("overwrite").parquet(f"{path}/out/flush={batch_id}")
+                held.filter(waits).write.mode("overwrite").parquet(f"{path}/held/flush={batch_id}")
+                marks = spark.range(1).select(F.lit(mark).cast("timestamp").alias("mark"))
+                marks.write.mode("overwrite").parquet(f"{path}/marks/flush={batch_id}")
         finally:
             rows.unpersist()
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import random
 
 from pyspark.sql import functions as F
 
 from signalyard import operators as op
+from signalyard.session import shared_dir
 from signalyard.streaming import enrich_asof_stream
 
 T0 = dt.datetime(2024, 1, 1)
@@ -65,3 +67,36 @@ def test_events_keep_what_was_valid_while_the_table_changes(spark, feed, tmp_pat
     assert rows_of(out, "user_id", "seq", "plan") == sorted(((u, k, _valid(changes, u, ts)) for u, ts, k in events), key=repr)
     assert out.select("flush").distinct().count() >= 3
     assert table.intervals().filter(F.col("valid_from") < F.col("valid_to")).count() <= len(changes)
+
+
+def test_history_is_computed_once(spark, tmp_path, monkeypatch):
+    """However often the scan counts before it runs."""
+    table = op.ValidityTable(spark, str(tmp_path / "v"), {"user_id": "string"}, {"plan": "string"}, buckets=2)
+    table.fold(spark.createDataFrame([("a", at(k), k, f"p{k}") for k in range(40)], CHANGE))
+    seen, stored = spark.sparkContext.accumulator(0), table.intervals
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def intervals(version=None, near=None):
+        found = stored(version, near)
+        return found.mapInArrow(counted, found.schema)
+
+    monkeypatch.setattr(table, "intervals", intervals)
+    events = spark.createDataFrame([("a", at(k + 0.5), k) for k in range(40)], EVENT)
+    assert {r["seq"]: r["plan"] for r in table.at_time(events).collect()} == {k: f"p{k}" for k in range(40)}
+    assert seen.value == 40
+
+
+def test_a_micro_batch_leaves_no_tables_behind(spark, feed, tmp_path):
+    folder = f"{shared_dir(spark)}/tables"
+    before = set(os.listdir(folder)) if os.path.exists(folder) else set()
+    e = feed(spark.createDataFrame([("a", at(1), 1)], EVENT), spark.createDataFrame([("end", at(1000), -1)], EVENT))
+    c = feed(spark.createDataFrame([("a", at(0), 0, "free")], CHANGE))
+    table = op.ValidityTable(spark, str(tmp_path / "v"), {"user_id": "string"}, {"plan": "string"}, buckets=2)
+    path = str(tmp_path / "flow")
+    assert enrich_asof_stream(e, c, table, path, f"{path}/checkpoint", "10 seconds").awaitTermination(120)
+    assert [r["plan"] for r in spark.read.parquet(f"{path}/out").filter("seq = 1").collect()] == ["free"]
+    assert set(os.listdir(folder)) <= before
